@@ -26,6 +26,13 @@ _BARE_CONSTANT = (
     r"(?=(?:[^\"]++|\"(?:[^\"\\]++|\\.)*+\")*+$)"
 )
 
+# Spark writes milliseconds by default, which would cut timestamps short.
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+KEEP_NULLS = {"ignoreNullFields": "false", **TIME_FORMATS}
+
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONS = (T.FloatType, T.DoubleType)
 
@@ -192,13 +199,13 @@ def as_json_text(column: Column, dtype: T.DataType) -> Column:
     if isinstance(
         dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)
     ):
-        text = F.to_json(column, {"ignoreNullFields": "false"})
+        text = F.to_json(column, KEEP_NULLS)
     elif isinstance(
         dtype, (*_INTEGERS, *_FRACTIONS, T.DecimalType, T.BooleanType)
     ):
         text = column.cast("string")
     else:
-        listed = F.to_json(F.array(column))
+        listed = F.to_json(F.array(column), TIME_FORMATS)
         text = F.when(
             column.isNotNull(),
             F.substring(listed, F.lit(2), F.length(listed) - 2),

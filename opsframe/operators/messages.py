@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.json_text import KEEP_NULLS, TIME_FORMATS
 from opsframe.functions.text import form_encode, form_field
 from opsframe.operators.validate import CONTENT_CATEGORIES
 
 # Fixed value: the key of a content type is this prefix and its category.
 CONTENT_PREFIX = "twilio/"
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
-
 
 def message_requests(
     df: DataFrame,
@@ -33,7 +32,7 @@ def message_requests(
     filled = F.lit(None).cast("string")
     if variables is not None and variables in df.columns:
         filled = F.when(
-            F.size(variables) > 0, F.to_json(variables, _KEEP_NULLS)
+            F.size(variables) > 0, F.to_json(variables, KEEP_NULLS)
         )
     fields = {
         "To": F.col(recipient),
@@ -62,10 +61,10 @@ def content_payload(
     return (
         F.when(
             category.isin("quick-reply", "call-to-action"),
-            F.to_json(replies, _KEEP_NULLS),
+            F.to_json(replies, KEEP_NULLS),
         )
-        .when(category == "list-picker", F.to_json(picker, _KEEP_NULLS))
-        .otherwise(F.to_json(plain, _KEEP_NULLS))
+        .when(category == "list-picker", F.to_json(picker, KEEP_NULLS))
+        .otherwise(F.to_json(plain, KEEP_NULLS))
     )
 
 
@@ -160,7 +159,8 @@ def sparse_record(
         name: _kept(F.col(name), df.schema[name].dataType, drop)
         for name in [key, *others]
     }
-    record = F.to_json(F.struct(*[c.alias(rename(n)) for n, c in kept.items()]))
+    named = F.struct(*[c.alias(rename(n)) for n, c in kept.items()])
+    record = F.to_json(named, TIME_FORMATS)
     bare = F.lit(True)
     for name in others:
         bare = bare & kept[name].isNull()

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.json_text import TIME_FORMATS
 from opsframe.functions.text import strip
 
 NO_SUB_QUESTION = "none"
@@ -178,7 +179,7 @@ def survey_responses_wide(
         F.col("responseId"),
         F.col("createTime"),
         F.col("lastSubmittedTime").alias("LastSubmittedTime"),
-        F.to_json(answers).alias("answer"),
+        F.to_json(answers, TIME_FORMATS).alias("answer"),
         names.alias("_ids"),
         texts.alias("_texts"),
     )

@@ -406,13 +406,13 @@ def _batch_ids_within(spark, sf_dir):
     "validate_contacts",
     """
     SELECT reason, count(*) AS contacts FROM (
-      SELECT unnest(list_filter([
+      SELECT unnest([reason FOR reason IN [
         CASE WHEN c_acctbal < 0 AND (c_nationkey = 1 OR c_nationkey = 2)
              THEN 'email or vid is required' END,
         CASE WHEN c_mktsegment = 'BUILDING'
              THEN 'property is required' END,
         CASE WHEN c_nationkey = 5 THEN 'value is required' END
-      ], x -> x IS NOT NULL)) AS reason
+      ] IF reason IS NOT NULL]) AS reason
       FROM customer)
     GROUP BY reason
     UNION ALL

@@ -177,12 +177,13 @@ def _nested_to_string(spark, sf_dir):
     "numeric_hook",
     """
     SELECT CAST(event_id AS DOUBLE) AS event_id,
-           CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END AS clicked,
+           CASE WHEN event_type = 'click' THEN 1::DOUBLE ELSE 0::DOUBLE END
+             AS clicked,
            t AS mixed,
            CASE WHEN event_type IN ('click', 'view')
                 THEN CAST(user_id AS DOUBLE)
-                WHEN event_type = 'signup' THEN 1000.0 + user_id
-                WHEN event_type = 'purchase' THEN -0.25 * user_id END
+                WHEN event_type = 'signup' THEN 1000::DOUBLE + user_id
+                WHEN event_type = 'purchase' THEN -0.25::DOUBLE * user_id END
              AS mixed_num
     FROM (
       SELECT event_id, event_type, user_id,
@@ -222,7 +223,7 @@ PARSED_ROWS = """
     SELECT event_id,
            CASE WHEN event_type <> 'error' THEN CAST(props->>'$.k' AS DOUBLE)
            END AS k,
-           CASE WHEN event_type <> 'error' THEN 1.0 END AS active,
+           CASE WHEN event_type <> 'error' THEN 1::DOUBLE END AS active,
            CASE WHEN event_type <> 'error' THEN event_type END AS inner_name,
            CASE WHEN event_type <> 'error' THEN value END AS inner_size_num,
            CASE WHEN event_type <> 'error' THEN user_id END AS first_item

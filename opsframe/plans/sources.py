@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from opsframe.functions.json_text import TIME_FORMATS
 from opsframe.plans.registry import query, table
 from opsframe.session import scratch_path
 from opsframe.sources import (
@@ -125,7 +126,8 @@ def _read_json_document(spark, sf_dir):
              WHEN 'purchase' THEN 'in_app_events_retarget'
              ELSE 'in_app_events_report' END AS report_type,
            'app' || CAST(user_id % 7 AS VARCHAR) AS app_id,
-           event_id, event_type AS event_name, user_id AS customer_user_id,
+           event_id, ts AS event_time, event_type AS event_name,
+           user_id AS customer_user_id,
            value AS event_value
     FROM events
     WHERE ts >= DATE '2024-01-02' AND ts < DATE '2024-01-21'
@@ -148,7 +150,7 @@ def _read_report_csv(spark, sf_dir):
     )
     path = scratch_path(spark, "reports")
     reports.write.partitionBy("app_id", "report_type").options(
-        header=True, escape='"'
+        header=True, escape='"', **TIME_FORMATS
     ).csv(path)
     schema = (
         "`Event ID` bigint, `Event Time` timestamp_ntz, `Event Name` string,"
@@ -165,10 +167,11 @@ def _read_report_csv(spark, sf_dir):
             schema=schema,
         )
         out = report if out is None else out.unionByName(report)
-    return out.drop("event_time").select(
+    return out.select(
         "report_type",
         "app_id",
         "event_id",
+        "event_time",
         "event_name",
         "customer_user_id",
         "event_value",

@@ -33,8 +33,9 @@ ROLLUP = """
 WINDOW_RANK = """
     SELECT o_custkey, o_orderkey, o_totalprice, place
     FROM (SELECT o_custkey, o_orderkey, o_totalprice,
-                 rank() OVER (PARTITION BY o_custkey
-                              ORDER BY o_totalprice DESC, o_orderkey) AS place
+                 CAST(rank() OVER (PARTITION BY o_custkey
+                                   ORDER BY o_totalprice DESC, o_orderkey)
+                      AS BIGINT) AS place
           FROM orders) ranked
     WHERE place <= 3
 """

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.json_text import KEEP_NULLS, TIME_FORMATS
 from opsframe.sources.warehouse import run_sql
 
 _UNORDERED = (T.MapType, T.VariantType, T.CalendarIntervalType)
@@ -48,7 +49,7 @@ def export_frame(df: DataFrame, path: str, fmt: str = "CSV") -> None:
         for i, f in enumerate(df.schema.fields)
         if i == 0 or not isinstance(f.dataType, _UNORDERED)
     ]
-    writer = df.orderBy(*order).write.mode("overwrite")
+    writer = df.orderBy(*order).write.mode("overwrite").options(**TIME_FORMATS)
     if fmt == "CSV":
         writer.options(sep=";", header=True, escape='"').csv(path)
     else:
@@ -59,7 +60,7 @@ def json_line(
     df: DataFrame, output: str = "value", keep_nulls: bool = False
 ) -> DataFrame:
     """One JSON object per row as text; rows without any value are left out."""
-    options = {"ignoreNullFields": str(not keep_nulls).lower()}
+    options = KEEP_NULLS if keep_nulls else TIME_FORMATS
     columns = [F.col(f"`{c}`") for c in df.columns]
     text = F.to_json(F.struct(*columns), options)
     return df.select(text.alias(output)).filter(F.col(output) != "{}")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opsframe.functions.json_text import TIME_FORMATS
 from opsframe.streaming.publishing import envelope
 
 RAN, SUCCEEDED, FAILED = "ran", "succeeded", "failed"
@@ -26,7 +27,7 @@ def job_status(
         raise ValueError(f"result must be one of {RESULTS}")
     return envelope(
         contexts,
-        F.to_json(context),
+        F.to_json(context, TIME_FORMATS),
         project,
         topic,
         {**attributes, "result": result},

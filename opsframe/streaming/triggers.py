@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsframe.functions.json_text import base64_json, encode_base64
+from opsframe.functions.json_text import (
+    TIME_FORMATS,
+    base64_json,
+    encode_base64,
+)
 
 TRIGGER_SCHEMA = "message_id bigint, data string"
 
@@ -15,7 +19,7 @@ def encode_triggers(
     df: DataFrame, columns: list[str], keep: list[str] | None = None
 ) -> DataFrame:
     """Rows -> trigger messages carrying the named columns."""
-    text = F.to_json(F.struct(*columns))
+    text = F.to_json(F.struct(*columns), TIME_FORMATS)
     return df.select(*(keep or []), encode_base64(text).alias("data"))
 
 
