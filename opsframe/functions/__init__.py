@@ -6,6 +6,7 @@ from opsframe.functions.json_text import (
     encode_base64,
     float_or_null,
     infer_json_schema,
+    is_json,
     nested_to_string,
     numeric_hook,
     numeric_struct,
@@ -28,6 +29,7 @@ __all__ = [
     "from_micros",
     "from_millis",
     "infer_json_schema",
+    "is_json",
     "nested_to_string",
     "numeric_hook",
     "numeric_struct",

@@ -6,10 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Closes the array that parse_json_line wraps around a line. A line followed
-# by anything else does not leave exactly two elements.
-_END_MARK = "end-of-line-5f1c"
-
 # Number syntax of Python's float(): underscores between digits, no suffix.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _FLOAT = (
@@ -41,31 +37,50 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def parse_json_line(line: Column | str) -> Column:
-    """Text -> VARIANT; NULL where the text is not exactly one JSON value.
+def _one_strict_value(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else.
+
+    The text is wrapped in an array and in an object, as the functions that
+    look inside stop at the end of their container: a text that closes the one
+    early is a syntax error in the other. Nothing is built from the values.
+    """
+    listed = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce((listed == 1) & (F.size(named) == 1), F.lit(False))
+
 
-    Scalars and JSON ``null`` are values. ``try_parse_json`` alone stops after
-    the first value and would accept trailing garbage.
+def is_json(line: Column | str) -> Column:
+    """Whether the text is exactly one JSON value.
+
+    Scalars and ``null`` are values, and the bare constants NaN and Infinity
+    are accepted. An unescaped control character inside a string is malformed.
     """
     column = _column(line)
+    # The functions above let control characters pass; line breaks and tabs
+    # between the tokens are fine, so the strict parser decides.
+    clean = ~column.rlike(r"[\x00-\x1f]") | F.try_parse_json(
+        column
+    ).isNotNull()
+    constants = F.regexp_replace(column, _BARE_CONSTANT, '"$0"')
+    return (
+        F.when(_one_strict_value(column), clean)
+        .when(column.rlike("NaN|Infinity"), _one_strict_value(constants))
+        .otherwise(F.lit(False))
+    )
 
-    def wrapped(text: Column) -> Column:
-        return F.try_parse_json(
-            F.concat(F.lit("["), text, F.lit(f',"{_END_MARK}"]'))
-        )
 
-    def one_value(parsed: Column) -> Column:
-        whole = (
-            F.try_variant_get(parsed, "$[1]", "string") == F.lit(_END_MARK)
-        ) & F.try_variant_get(parsed, "$[2]", "variant").isNull()
-        return F.when(whole, F.variant_get(parsed, "$[0]", "variant"))
+def parse_json_line(line: Column | str) -> Column:
+    """Text -> VARIANT; NULL where the text is not exactly one JSON value.
 
-    plain = one_value(wrapped(column))
-    constants = F.when(
-        column.rlike("NaN|Infinity"),
-        one_value(wrapped(F.regexp_replace(column, _BARE_CONSTANT, '"$0"'))),
+    ``try_parse_json`` alone stops after the first value and would accept
+    trailing garbage. A bare NaN or Infinity becomes a string.
+    """
+    column = _column(line)
+    constants = F.regexp_replace(column, _BARE_CONSTANT, '"$0"')
+    return F.when(
+        is_json(column),
+        F.coalesce(F.try_parse_json(column), F.try_parse_json(constants)),
     )
-    return F.coalesce(plain, constants)
 
 
 def float_or_null(text: Column | str) -> Column:
@@ -175,9 +190,7 @@ def parse_json_numeric(
     """
     if schema is None:
         schema = infer_json_schema(df, column)
-    parsed = F.when(
-        parse_json_line(column).isNotNull(), F.from_json(column, schema)
-    )
+    parsed = F.when(is_json(column), F.from_json(column, schema))
     result = df.withColumn(output, parsed)
     dtype = result.schema[output].dataType
     if drop_bad:

@@ -8,6 +8,9 @@ and a list stay apart in one column.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,89 +21,160 @@ _NODES = "array<struct<path:string,value:string>>"
 _OPEN_NODES = "array<struct<path:string,value:variant,leaf:boolean>>"
 
 
-def _none() -> Column:
-    return F.array().cast(_NODES)
+class _Walk(NamedTuple):
+    """How a typed record is walked."""
 
+    lists: str
+    nulls: str
+    # Makes one node from its path and its JSON text.
+    make: Callable[[Column, Column], Column]
+    empty: Column
+    # The only path to visit, if not all.
+    wanted: str | None = None
 
-def _node(path: Column, value: Column) -> Column:
-    return F.array(F.struct(path.alias("path"), value.alias("value"))).cast(
-        _NODES
-    )
+    def node(self, path: str | Column, text: Column) -> Column:
+        literal = F.lit(path) if isinstance(path, str) else path
+        return self.make(literal, text)
+
+    def visits(self, path: str | Column, inside: bool = False) -> bool:
+        """Whether the path, or one inside it, is wanted."""
+        if self.wanted is None or not isinstance(path, str):
+            return True
+        return self.wanted == path or (
+            inside and self.wanted.startswith(f"{path}.")
+        )
 
 
-def _child(path: Column | None, key: Column) -> Column:
-    return key if path is None else F.concat(path, F.lit("."), key)
+def _child(path: str | Column | None, key: str | Column) -> str | Column:
+    if path is None:
+        return key
+    if isinstance(path, str) and isinstance(key, str):
+        return f"{path}.{key}"
+    start = F.lit(path) if isinstance(path, str) else path
+    end = F.lit(key) if isinstance(key, str) else key
+    return F.concat(start, F.lit("."), end)
 
 
 def _typed_nodes(
     column: Column,
     dtype: T.DataType,
-    path: Column | None,
-    lists: str,
-    nulls: str,
-) -> Column:
-    absent = (
-        _node(path, F.lit("null"))
-        if nulls == "emit" and path is not None
-        else _none()
-    )
+    path: str | Column | None,
+    walk: _Walk,
+    held: Column | None = None,
+) -> tuple[list[Column], list[Column]]:
+    """The single nodes and the arrays of nodes under ``column``.
+
+    A single node is NULL where there is nothing to emit, an array is not.
+    ``held`` says that all enclosing dicts exist; it matters only when NULLs
+    are emitted, as a NULL dict is one node and its fields are none.
+    """
+    emits = walk.nulls == "emit"
 
     if isinstance(dtype, T.StructType):
-        parts = [
-            _typed_nodes(
-                column.getField(f.name),
-                f.dataType,
-                _child(path, F.lit(f.name)),
-                lists,
-                nulls,
+        singles, arrays = [], []
+        inside = held
+        if emits and path is not None:
+            exists = column.isNotNull()
+            inside = exists if held is None else held & exists
+            gone = ~exists if held is None else held & ~exists
+            if walk.visits(path):
+                singles.append(F.when(gone, walk.node(path, F.lit("null"))))
+        for field in dtype.fields:
+            below = _child(path, field.name)
+            if not walk.visits(below, inside=True):
+                continue
+            more_singles, more_arrays = _typed_nodes(
+                column.getField(field.name), field.dataType, below, walk, inside
             )
-            for f in dtype.fields
-        ]
-        inner = F.concat(*parts) if parts else _none()
-    elif isinstance(dtype, T.MapType):
-        inner = F.flatten(
-            F.transform(
-                F.map_entries(column),
-                lambda e: _typed_nodes(
+            singles += more_singles
+            arrays += more_arrays
+        return singles, arrays
+
+    if path is None and not isinstance(dtype, T.MapType):
+        return [], []
+    gone = column.isNull() if held is None else held & column.isNull()
+    null_node = []
+    if emits and path is not None and walk.visits(path):
+        null_node = [F.when(gone, walk.node(path, F.lit("null")))]
+
+    if isinstance(dtype, T.MapType):
+        entries = F.transform(
+            F.map_entries(column),
+            lambda e: _assemble(
+                _typed_nodes(
                     e.getField("value"),
                     dtype.valueType,
                     _child(path, e.getField("key").cast("string")),
-                    lists,
-                    nulls,
+                    walk,
                 ),
-            )
+                walk,
+            ),
         )
-    elif isinstance(dtype, T.ArrayType) and path is not None:
-        whole = as_json_text(column, dtype)
-        element = dtype.elementType
-
-        def item_value(item: Column) -> Column:
-            if lists == "whole":
-                return whole
-            return as_json_text(item, element)
-
-        if lists == "leaf":
-            inner = _node(path, whole)
-        elif isinstance(element, (T.StructType, T.MapType)):
-            inner = F.flatten(
-                F.transform(
-                    column,
-                    lambda item: F.when(
-                        item.isNull(), _node(path, item_value(item))
-                    ).otherwise(
-                        _typed_nodes(item, element, path, lists, nulls)
-                    ),
-                )
-            )
-        else:
-            inner = F.flatten(
-                F.transform(column, lambda item: _node(path, item_value(item)))
+        return null_node, [F.coalesce(F.flatten(entries), walk.empty)]
+
+    text = as_json_text(column, dtype)
+    if not isinstance(dtype, T.ArrayType) or walk.lists == "leaf":
+        if not walk.visits(path):
+            return [], []
+        if emits:
+            node = walk.node(path, text)
+            return [node if held is None else F.when(held, node)], []
+        return [F.when(column.isNotNull(), walk.node(path, text))], []
+
+    element = dtype.elementType
+
+    def plain(item: Column) -> Column:
+        shown = text if walk.lists == "whole" else as_json_text(item, element)
+        return walk.node(path, shown)
+
+    if isinstance(element, (T.StructType, T.MapType)):
+        nodes_of = F.flatten(
+            F.transform(
+                column,
+                lambda item: F.when(
+                    item.isNull(),
+                    F.array(plain(item)) if walk.visits(path) else walk.empty,
+                ).otherwise(
+                    _assemble(_typed_nodes(item, element, path, walk), walk)
+                ),
             )
-    elif path is None:
-        inner = _none()
+        )
+    elif not walk.visits(path):
+        return [], []
+    elif walk.lists == "whole":
+        nodes_of = F.array_repeat(walk.node(path, text), F.size(column))
     else:
-        inner = _node(path, as_json_text(column, dtype))
-    return F.when(column.isNull(), absent).otherwise(inner)
+        nodes_of = F.transform(column, plain)
+    return null_node, [F.coalesce(nodes_of, walk.empty)]
+
+
+def _assemble(
+    found: tuple[list[Column], list[Column]], walk: _Walk
+) -> Column:
+    """One array of nodes; it may hold NULLs."""
+    singles, arrays = found
+    parts = [*([F.array(*singles)] if singles else []), *arrays]
+    if not parts:
+        return walk.empty
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def _no_nodes() -> Column:
+    return F.array().cast(_NODES)
+
+
+def _full_node(path: Column, text: Column) -> Column:
+    return F.struct(path.alias("path"), text.alias("value"))
+
+
+def _has_maps(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_maps(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_maps(f.dataType) for f in dtype.fields)
+    return False
 
 
 def _is_object(value: Column) -> Column:
@@ -171,7 +245,29 @@ def _variant_nodes(column: Column, max_depth: int, lists: str) -> Column:
             F.when(done, F.to_json(value)).otherwise(deeper).alias("value"),
         )
 
-    return F.coalesce(F.transform(open_nodes, closed).cast(_NODES), _none())
+    return F.coalesce(F.transform(open_nodes, closed), _no_nodes())
+
+
+def _check(lists: str, nulls: str) -> None:
+    if lists not in ("whole", "element", "leaf"):
+        raise ValueError("lists must be whole, element or leaf")
+    if nulls not in ("drop", "emit"):
+        raise ValueError("nulls must be drop or emit")
+
+
+def _raw_nodes(
+    df: DataFrame, column: str, lists: str, nulls: str, max_depth: int
+) -> Column:
+    """The nodes of a record, NULLs between them in the typed plan."""
+    _check(lists, nulls)
+    dtype = df.select(F.col(column)).schema[0].dataType
+    if isinstance(dtype, T.VariantType):
+        return _variant_nodes(F.col(column), max_depth, lists)
+    walk = _Walk(lists, nulls, _full_node, _no_nodes())
+    found = _typed_nodes(F.col(column), dtype, None, walk)
+    return F.when(F.col(column).isNotNull(), _assemble(found, walk)).otherwise(
+        _no_nodes()
+    )
 
 
 def nodes(
@@ -191,25 +287,25 @@ def nodes(
     them or emits ``null``. A VARIANT column is exact; one deeper than
     ``max_depth`` levels (dicts and lists both count) fails the query.
     """
-    if lists not in ("whole", "element", "leaf"):
-        raise ValueError("lists must be whole, element or leaf")
-    if nulls not in ("drop", "emit"):
-        raise ValueError("nulls must be drop or emit")
-    dtype = df.select(F.col(column)).schema[0].dataType
-    if isinstance(dtype, T.VariantType):
-        return _variant_nodes(F.col(column), max_depth, lists)
-    return _typed_nodes(F.col(column), dtype, None, lists, nulls)
+    return F.array_compact(_raw_nodes(df, column, lists, nulls, max_depth))
 
 
 def node_map(
-    df: DataFrame, column: str, keys: list[str] | None = None, **options
+    df: DataFrame,
+    column: str,
+    keys: list[str] | None = None,
+    lists: str = "whole",
+    nulls: str = "drop",
+    max_depth: int = 12,
 ) -> DataFrame:
-    """One row ``(keys..., path, value)`` per leaf of the nested record."""
+    """One row ``(keys..., path, value)`` per leaf of the nested record; see
+    ``nodes`` for the options."""
     kept = [c for c in df.columns if c != column] if keys is None else keys
-    exploded = df.select(
-        *kept, F.explode(nodes(df, column, **options)).alias("_node")
+    found = _raw_nodes(df, column, lists, nulls, max_depth)
+    exploded = df.select(*kept, F.explode(found).alias("_node"))
+    return exploded.filter(F.col("_node").isNotNull()).select(
+        *kept, "_node.path", "_node.value"
     )
-    return exploded.select(*kept, "_node.path", "_node.value")
 
 
 def leaf_paths(
@@ -217,10 +313,32 @@ def leaf_paths(
 ) -> DataFrame:
     """Add the dotted paths of all leaves. Lists are leaves, an empty dict
     gives none."""
-    found = nodes(df, column, lists="leaf", max_depth=max_depth)
-    return df.withColumn(
-        output, F.transform(found, lambda node: node.getField("path"))
+    dtype = df.select(F.col(column)).schema[0].dataType
+    if isinstance(dtype, T.VariantType):
+        found = F.transform(
+            _variant_nodes(F.col(column), max_depth, "leaf"),
+            lambda node: node.getField("path"),
+        )
+        return df.withColumn(output, found)
+    walk = _Walk(
+        "leaf", "drop", lambda path, _: path, F.array().cast("array<string>")
+    )
+    names = _assemble(_typed_nodes(F.col(column), dtype, None, walk), walk)
+    return df.withColumn(output, F.array_compact(names))
+
+
+def _typed_values(
+    column: Column, dtype: T.DataType, path: str, lists: str, nulls: str
+) -> Column:
+    """The values at one path of a record without maps, NULLs between them."""
+    walk = _Walk(
+        lists,
+        nulls,
+        lambda _, text: text,
+        F.array().cast("array<string>"),
+        path,
     )
+    return _assemble(_typed_nodes(column, dtype, None, walk), walk)
 
 
 def find_paths(
@@ -229,49 +347,71 @@ def find_paths(
     paths: list[str],
     names: list[str] | None = None,
     strict: bool = False,
-    **options,
+    lists: str = "whole",
+    nulls: str = "drop",
+    max_depth: int = 12,
 ) -> DataFrame:
     """Add one column per path: the value, or the list of values where the
     path occurs several times.
 
     ``missing`` lists the paths a row lacks; ``strict`` fails the query on
-    such a row instead.
+    such a row instead. In a typed record only the wanted fields are read.
     """
     if isinstance(paths, str):
         raise TypeError("paths must be a list of paths")
+    _check(lists, nulls)
     names = names or [path.replace(".", "_") for path in paths]
-    # Only the wanted nodes leave the projection that walks the record.
-    wanted = F.filter(
-        nodes(df, column, **options),
-        lambda node: node.getField("path").isin(paths),
-    )
-    walked = df.withColumn("_nodes", wanted)
+    kept = [c for c in df.columns if c not in names]
+    hits = [f"_hits_{i}" for i in range(len(paths))]
+    dtype = df.select(F.col(column)).schema[0].dataType
 
-    def values(path: str) -> Column:
-        hits = F.filter(
-            F.col("_nodes"), lambda node: node.getField("path") == path
+    if isinstance(dtype, T.VariantType) or _has_maps(dtype):
+        wanted = F.filter(
+            _raw_nodes(df, column, lists, nulls, max_depth),
+            lambda node: node.getField("path").isin(paths),
+        )
+        walked = df.withColumn("_nodes", wanted).select(
+            *kept,
+            *[
+                F.transform(
+                    F.filter(
+                        "_nodes", lambda n, p=path: n.getField("path") == p
+                    ),
+                    lambda n: n.getField("value"),
+                ).alias(hit)
+                for path, hit in zip(paths, hits)
+            ],
+        )
+    else:
+        walked = df.select(
+            *kept,
+            *[
+                F.array_compact(
+                    _typed_values(
+                        F.col(column), dtype, path, lists, nulls
+                    )
+                ).alias(hit)
+                for path, hit in zip(paths, hits)
+            ],
         )
-        return F.transform(hits, lambda node: node.getField("value"))
 
-    def result(path: str) -> Column:
-        found = values(path)
-        several = F.concat(F.lit("["), F.array_join(found, ","), F.lit("]"))
-        return F.when(F.size(found) == 1, found[0]).when(
-            F.size(found) > 1, several
+    def result(hit: str) -> Column:
+        several = F.concat(F.lit("["), F.array_join(hit, ","), F.lit("]"))
+        return F.when(F.size(hit) == 1, F.get(hit, F.lit(0))).when(
+            F.size(hit) > 1, several
         )
 
-    absent = F.filter(
+    absent = F.array_compact(
         F.array(
             *[
-                F.when(F.size(values(path)) == 0, F.lit(path))
-                for path in paths
+                F.when(F.size(hit) == 0, F.lit(path))
+                for path, hit in zip(paths, hits)
             ]
-        ),
-        lambda path: path.isNotNull(),
+        )
     )
     out = walked.select(
-        *df.columns,
-        *[result(path).alias(name) for path, name in zip(paths, names)],
+        *kept,
+        *[result(hit).alias(name) for hit, name in zip(hits, names)],
         absent.alias("missing"),
     )
     if not strict:

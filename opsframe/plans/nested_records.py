@@ -24,7 +24,8 @@ def _records(spark, sf_dir):
     """
     flag = F.col("l_returnflag")
     party = "struct<id:bigint,role:string>"
-    return table(spark, sf_dir, "lineitem").select(
+    used = [*KEYS, "l_quantity", "l_returnflag", "l_linestatus"]
+    return table(spark, sf_dir, "lineitem", used).select(
         *KEYS,
         F.struct(
             F.struct(
@@ -103,7 +104,8 @@ def _node_map_elements(spark, sf_dir):
         "user_id",
         F.lit("]}"),
     )
-    events = table(spark, sf_dir, "events").select(
+    used = ["event_id", "event_type", "user_id", "props"]
+    events = table(spark, sf_dir, "events", used).select(
         "event_id", F.parse_json(text).alias("record")
     )
     return node_map(events, "record", lists="element", max_depth=3)
@@ -232,7 +234,9 @@ PARSED_ROWS = """
 
 
 def _parsed(spark, sf_dir, schema):
-    events = table(spark, sf_dir, "events")
+    events = table(
+        spark, sf_dir, "events", ["event_id", "event_type", "user_id", "value", "props"]
+    )
     text = F.concat(
         F.expr("substring(props, 1, length(props) - 1)"),
         F.lit(',"active":true,"list":['),

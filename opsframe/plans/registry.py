@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.session import configure
+from opsframe.session import configure, spread_scan
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -37,5 +37,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """A table, or its named columns spread over all cores for heavy work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if columns is None else spread_scan(df.select(*columns))

@@ -356,9 +356,11 @@ def _grid_range(spark, sf_dir):
     rows = customer.select(
         (F.col("c_custkey") + 4).alias("row_idx"), cells.alias("cells")
     )
-    header = spark.createDataFrame(
-        [(3, ["c_custkey", "c_name", "c_mktsegment"])],
-        "row_idx bigint, cells array<string>",
+    header = spark.range(3, 4).select(
+        F.col("id").alias("row_idx"),
+        F.array(
+            *[F.lit(n) for n in ("c_custkey", "c_name", "c_mktsegment")]
+        ).alias("cells"),
     )
     return grid_range_frame(header.unionByName(rows), "Customers!B3:C")
 

@@ -84,7 +84,14 @@ def _responses(spark, sf_dir):
         _answer("q2", F.col("o_orderpriority")),
         _answer("q3", F.when(F.col("o_totalprice") > 1e5, F.lit("large"))),
     )
-    envelope = table(spark, sf_dir, "orders").select(
+    used = [
+        "o_orderkey",
+        "o_orderstatus",
+        "o_orderpriority",
+        "o_orderdate",
+        "o_totalprice",
+    ]
+    envelope = table(spark, sf_dir, "orders", used).select(
         F.array(
             F.struct(
                 F.concat(F.lit("r"), "o_orderkey").alias("responseId"),
@@ -126,13 +133,12 @@ def _survey_responses_wide(spark, sf_dir):
     _wide_sql(("Status", "Handling-priority", "Handling-size")),
 )
 def _survey_responses_titled(spark, sf_dir):
-    questions = spark.createDataFrame(
-        [
-            ("Status", "q1", "none"),
-            ("Handling", "q2", "priority"),
-            ("Handling", "q3", "size"),
-        ],
-        "question_title string, question_id string, sub_question string",
+    questions = spark.sql(
+        """
+        SELECT * FROM VALUES ('Status', 'q1', 'none'),
+            ('Handling', 'q2', 'priority'), ('Handling', 'q3', 'size')
+            AS t(question_title, question_id, sub_question)
+        """
     )
     return survey_responses_titled(_responses(spark, sf_dir), questions).drop(
         "answer"

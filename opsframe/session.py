@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Epoch functions read zone-less timestamps as UTC; JSON objects with a
 # repeated key keep the last value instead of being rejected.
@@ -44,6 +44,19 @@ def get_spark(
     return configure(builder.getOrCreate())
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A file scan with at least one partition per core.
+
+    A small file of one row group is one split, which leaves heavy work on its
+    rows to a single core. A scan that has splits enough is returned as it is,
+    so large inputs are never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 

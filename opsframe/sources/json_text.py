@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsframe.functions.json_text import parse_json_line
+from opsframe.functions.json_text import is_json
 from opsframe.session import configure
 
 
@@ -20,7 +20,7 @@ def parse_lines(
     Scalars and ``null`` are JSON: they stay as rows, all NULL under a schema.
     Without a schema the valid lines come back as text.
     """
-    valid = lines.filter(parse_json_line(column).isNotNull())
+    valid = lines.filter(is_json(column))
     if schema is None:
         return valid
     parsed = valid.withColumn("_record", F.from_json(column, schema))
