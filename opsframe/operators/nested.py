@@ -341,6 +341,11 @@ def _typed_values(
     return _assemble(_typed_nodes(column, dtype, None, walk), walk)
 
 
+def _values_of(found: str, path: str) -> Column:
+    hits = F.filter(found, lambda node: node.getField("path") == path)
+    return F.transform(hits, lambda node: node.getField("value"))
+
+
 def find_paths(
     df: DataFrame,
     column: str,
@@ -373,12 +378,7 @@ def find_paths(
         walked = df.withColumn("_nodes", wanted).select(
             *kept,
             *[
-                F.transform(
-                    F.filter(
-                        "_nodes", lambda n, p=path: n.getField("path") == p
-                    ),
-                    lambda n: n.getField("value"),
-                ).alias(hit)
+                _values_of("_nodes", path).alias(hit)
                 for path, hit in zip(paths, hits)
             ],
         )

@@ -12,7 +12,7 @@ from opsframe.operators import (
     survey_responses_titled,
     survey_responses_wide,
 )
-from opsframe.operators.survey import QUESTION_ITEMS, RESPONSES
+from opsframe.operators.survey import QUESTION_ITEMS
 from opsframe.plans.registry import query, table
 
 
@@ -101,9 +101,7 @@ def _responses(spark, sf_dir):
                     F.filter(answers, lambda a: a.isNotNull())
                 ).alias("answers"),
             )
-        )
-        .cast(RESPONSES)
-        .alias("responses")
+        ).alias("responses")
     )
     return survey_responses(envelope)
 
