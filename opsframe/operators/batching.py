@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from opsframe.session import scratch_path
 
 _PART, _POS = "_part", "_pos"
+# The offsets are broadcast up to this many rows of a few bytes each.
+BROADCAST_ROWS = 500_000
 # monotonically_increasing_id() holds the row's position in the low 33 bits.
 _POS_BITS = 33
 
@@ -77,14 +79,13 @@ def index_rows(
             "_shift"
         ),
     )
-    if groups:
-        matches = [
-            F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in first_of
-        ]
-    else:
-        # One row per written partition, so its size is known to be small.
+    # Usually one row per written partition; with very many groups the join
+    # shuffles instead, by group and partition.
+    if pieces.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-        matches = [F.col(f"r.{_PART}") == F.col(f"o.{_PART}")]
+    matches = [F.col(f"r.{_PART}") == F.col(f"o.{_PART}")] + [
+        F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in groups
+    ]
     joined = ranged.alias("r").join(offsets.alias("o"), matches)
     return joined.select(
         *[F.col(f"r.`{c}`") for c in df.columns],

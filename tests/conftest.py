@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         {
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": str(root / "scratch"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),

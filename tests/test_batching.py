@@ -49,6 +49,16 @@ def test_index_is_the_same_each_time_it_is_read(spark):
     assert sorted(indexed.collect()) == sorted(indexed.collect())
 
 
+def test_many_groups_are_joined_without_a_hint(spark, monkeypatch):
+    from opsframe.operators import batching
+
+    monkeypatch.setattr(batching, "BROADCAST_ROWS", 0)
+    df = spark.range(300).select((F.col("id") % 7).alias("g"), "id")
+    got = index_rows(df, "id", within=["g"])
+    assert "broadcast" not in got._jdf.queryExecution().analyzed().toString()
+    assert all(r.row_idx == r.id // 7 for r in got.collect())
+
+
 def test_no_window_over_the_rows(spark, plan_of):
     plan = plan_of(index_rows(spark.range(1000), "id"))
     window = plan[: plan.index("Window")]
