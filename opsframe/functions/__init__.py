@@ -13,7 +13,7 @@ from opsframe.functions.json_text import (
     parse_json_line,
     parse_json_numeric,
 )
-from opsframe.functions.lists import flatten_lists
+from opsframe.functions.lists import explode_once, flatten_lists
 from opsframe.functions.text import form_encode, form_field, form_quote, strip
 from opsframe.functions.times import from_micros, from_millis, to_millis
 
@@ -21,6 +21,7 @@ __all__ = [
     "as_json_text",
     "base64_json",
     "encode_base64",
+    "explode_once",
     "flatten_lists",
     "float_or_null",
     "form_encode",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.lists import explode_once
 from opsframe.operators.columns import select_properties
 
 # Longest key list that becomes an IN filter, which the file scan can use.
@@ -92,9 +93,8 @@ def property_updates(
     contacts: DataFrame, key: str, seq: str, properties: str = "properties"
 ) -> DataFrame:
     """Contact updates -> rows ``(key, seq, pos, property, value)``."""
-    return contacts.select(
-        F.col(key), F.col(seq), F.posexplode(properties).alias("pos", "_item")
-    ).select(key, seq, "pos", "_item.property", "_item.value")
+    items = explode_once(contacts, properties, "_item", [key, seq], "pos")
+    return items.select(key, seq, "pos", "_item.property", "_item.value")
 
 
 def upsert(
@@ -343,17 +343,8 @@ def _append_new(
     a small addition leaves the existing rows unshuffled.
     """
     fresh = added.select(*columns).distinct()
-    held = existing.alias("e").join(
-        fresh.alias("f"),
-        [F.col(f"e.{c}").eqNullSafe(F.col(f"f.{c}")) for c in columns],
-        "left_semi",
-    )
-    new = fresh.alias("f").join(
-        held.alias("h"),
-        [F.col(f"f.{c}").eqNullSafe(F.col(f"h.{c}")) for c in columns],
-        "left_anti",
-    )
-    return existing.unionByName(new)
+    held = existing.join(fresh, columns, "left_semi")
+    return existing.unionByName(fresh.join(held, columns, "left_anti"))
 
 
 def _absent(values) -> bool:
@@ -386,7 +377,15 @@ def contact_lists(members: DataFrame, list_id=None) -> DataFrame:
 
 
 def associate(edges: DataFrame, added: DataFrame) -> DataFrame:
-    """Add typed object-to-object edges; an edge present already stays one."""
+    """Add typed object-to-object edges; an edge present already stays one.
+
+    All five columns of an edge are set; one without them fails the query.
+    """
+    incomplete = F.raise_error(F.lit("edge with a missing column"))
+    complete = F.when(
+        F.concat(*EDGE_COLUMNS).isNotNull(), F.lit(True)
+    ).otherwise(incomplete.cast("boolean"))
+    added = added.filter(complete)
     return _append_new(
         edges.select(*EDGE_COLUMNS), added.select(*EDGE_COLUMNS), EDGE_COLUMNS
     )

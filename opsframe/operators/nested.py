@@ -329,8 +329,9 @@ def leaf_paths(
 
 def _typed_values(
     column: Column, dtype: T.DataType, path: str, lists: str, nulls: str
-) -> Column:
-    """The values at one path of a record without maps, NULLs between them."""
+) -> tuple[Column, bool]:
+    """The values at one path of a record without maps, and whether they are
+    an array: a path that meets no list has at most one value."""
     walk = _Walk(
         lists,
         nulls,
@@ -338,7 +339,10 @@ def _typed_values(
         F.array().cast("array<string>"),
         path,
     )
-    return _assemble(_typed_nodes(column, dtype, None, walk), walk)
+    singles, arrays = _typed_nodes(column, dtype, None, walk)
+    if len(singles) == 1 and not arrays:
+        return singles[0], False
+    return F.array_compact(_assemble((singles, arrays), walk)), True
 
 
 def _values_of(found: str, path: str) -> Column:
@@ -382,20 +386,23 @@ def find_paths(
                 for path, hit in zip(paths, hits)
             ],
         )
+        listed = set(hits)
     else:
+        found = [
+            _typed_values(F.col(column), dtype, path, lists, nulls)
+            for path in paths
+        ]
         walked = df.select(
-            *kept,
-            *[
-                F.array_compact(
-                    _typed_values(
-                        F.col(column), dtype, path, lists, nulls
-                    )
-                ).alias(hit)
-                for path, hit in zip(paths, hits)
-            ],
+            *kept, *[values.alias(hit) for (values, _), hit in zip(found, hits)]
         )
+        listed = {hit for (_, many), hit in zip(found, hits) if many}
+
+    def is_absent(hit: str) -> Column:
+        return F.size(hit) == 0 if hit in listed else F.col(hit).isNull()
 
     def result(hit: str) -> Column:
+        if hit not in listed:
+            return F.col(hit)
         several = F.concat(F.lit("["), F.array_join(hit, ","), F.lit("]"))
         return F.when(F.size(hit) == 1, F.get(hit, F.lit(0))).when(
             F.size(hit) > 1, several
@@ -404,7 +411,7 @@ def find_paths(
     absent = F.array_compact(
         F.array(
             *[
-                F.when(F.size(hit) == 0, F.lit(path))
+                F.when(is_absent(hit), F.lit(path))
                 for path, hit in zip(paths, hits)
             ]
         )

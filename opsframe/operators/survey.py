@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.functions.json_text import TIME_FORMATS
+from opsframe.functions.lists import explode_once
 from opsframe.functions.text import strip
 
 NO_SUB_QUESTION = "none"
@@ -106,17 +107,16 @@ def survey_questions(
             group.isNotNull(), members
         )
 
-    listed = forms.select(*kept, F.explode(items).alias("_item"))
-    return listed.select(
-        *kept, F.explode(rows(F.col("_item"))).alias("_question")
-    ).select(*kept, "_question.*")
+    listed = explode_once(forms, items, "_item", kept)
+    questions = explode_once(listed, rows(F.col("_item")), "_question", kept)
+    return questions.select(*kept, "_question.*")
 
 
 def survey_responses(
     forms: DataFrame, responses: str = "responses"
 ) -> DataFrame:
     """Response envelopes -> one row per response."""
-    return forms.select(F.explode(responses).alias("_r")).select("_r.*")
+    return explode_once(forms, responses, "_response").select("_response.*")
 
 
 def _first_text(answer: Column, dtype: T.StructType) -> Column:
@@ -142,9 +142,9 @@ def _bounded(values: DataFrame) -> list:
 
 def question_ids(responses: DataFrame, answers: str = "answers") -> list[str]:
     """The distinct question ids answered, from one pass over the responses."""
-    found = responses.select(
-        F.explode(F.map_values(answers)).alias("_a")
-    ).select(F.col("_a.questionId").alias("id"))
+    found = explode_once(responses, F.map_values(answers), "_answer").select(
+        F.col("_answer.questionId").alias("id")
+    )
     distinct = found.filter(F.col("id").isNotNull()).distinct()
     return sorted(row.id for row in _bounded(distinct))
 

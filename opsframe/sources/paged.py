@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.lists import explode_once
+
 
 class PageStyle(NamedTuple):
     """Where a payload keeps its items and the token of the next page."""
@@ -50,15 +52,13 @@ def read_pages(
     layout = _style(style)
     if isinstance(item_schema, T.DataType):
         item_schema = item_schema.simpleString()
-    else:
-        item_schema = f"struct<{item_schema}>" if not item_schema.lower(
-        ).startswith("struct<") else item_schema
+    elif not item_schema.lower().startswith("struct<"):
+        item_schema = f"struct<{item_schema}>"
     envelope = f"struct<`{layout.items}`:array<{item_schema}>>"
     parsed = F.from_json(payload, envelope, {"mode": "FAILFAST"})
     kept = list(keep or [])
-    listed = pages.select(
-        *kept, F.posexplode(parsed.getField(layout.items)).alias("pos", "_item")
-    )
+    items = parsed.getField(layout.items)
+    listed = explode_once(pages, items, "_item", kept, "pos")
     return listed.select(*kept, "pos", "_item.*")
 
 

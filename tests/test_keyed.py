@@ -219,8 +219,10 @@ def test_edges_are_a_set(spark):
             ", ".join(f"{c} string" for c in EDGE_COLUMNS),
         )
 
-    got = associate(edges("1", None), edges("1", "2", "2", None))
-    assert sorted(str(r.object_id) for r in got.collect()) == ["1", "2", "None"]
+    got = associate(edges("1", "3"), edges("1", "2", "2"))
+    assert sorted(r.object_id for r in got.collect()) == ["1", "2", "3"]
+    with pytest.raises(Exception, match="edge with a missing column"):
+        associate(edges("1"), edges("2", None)).collect()
 
 
 def test_small_updates_do_not_shuffle_the_target(spark, tmp_path):
