@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from opsframe.functions.json_text import as_json_text
 
 _NODES = "array<struct<path:string,value:string>>"
-_OPEN_NODES = "array<struct<path:string,value:variant,leaf:boolean>>"
 
 
 class _Walk(NamedTuple):
@@ -177,75 +176,71 @@ def _has_maps(dtype: T.DataType) -> bool:
     return False
 
 
-def _is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-
-
 def _open(path: Column, value: Column, leaf: bool) -> Column:
     return F.struct(
         path.alias("path"), value.alias("value"), F.lit(leaf).alias("leaf")
     )
 
 
-def _expand(node: Column, lists: str) -> Column:
-    """The nodes one level below an open node; a leaf stays as it is."""
-    path, value = node.getField("path"), node.getField("value")
-    entries = F.try_variant_get(value, "$", "map<string,variant>")
+def _entries(path: Column, value: Column, first: bool = False) -> Column:
+    """The open nodes of a dict's entries; NULL when the value is no dict."""
+
+    def node(entry: Column) -> Column:
+        key = entry.getField("key")
+        below = key if first else F.concat(path, F.lit("."), key)
+        return _open(below, entry.getField("value"), False)
+
+    dicts = F.try_variant_get(value, "$", "map<string,variant>")
+    return F.transform(F.map_entries(dicts), node)
+
+
+def _items(path: Column, value: Column, lists: str) -> Column:
+    """The nodes of a list's items; NULL when the value is no list."""
     items = F.try_variant_get(value, "$", "array<variant>")
-    below = F.transform(
-        F.map_entries(entries),
-        lambda e: _open(
-            F.when(path.isNull(), e.getField("key")).otherwise(
-                F.concat(path, F.lit("."), e.getField("key"))
-            ),
-            e.getField("value"),
-            False,
-        ),
-    )
     if lists == "leaf":
-        listed = F.array(_open(path, value, True))
-    else:
-        listed = F.transform(
-            items,
-            lambda item: F.when(
-                _is_object(item), _open(path, item, False)
-            ).otherwise(
-                _open(path, value if lists == "whole" else item, True)
-            ),
+        return F.when(items.isNotNull(), F.array(_open(path, value, True)))
+
+    def nodes_of(item: Column) -> Column:
+        shown = value if lists == "whole" else item
+        return F.coalesce(
+            _entries(path, item), F.array(_open(path, shown, True))
+        )
+
+    return F.flatten(F.transform(items, nodes_of))
+
+
+def _expand(node: Column, lists: str) -> Column:
+    """The nodes one dict level below an open node; a leaf stays as it is."""
+    path, value = node.getField("path"), node.getField("value")
+    return F.when(node.getField("leaf"), F.array(node)).otherwise(
+        F.coalesce(
+            _entries(path, value),
+            _items(path, value, lists),
+            F.array(_open(path, value, True)),
         )
-    return (
-        F.when(node.getField("leaf"), F.array(node).cast(_OPEN_NODES))
-        .when(entries.isNotNull(), below.cast(_OPEN_NODES))
-        .when(items.isNotNull(), listed.cast(_OPEN_NODES))
-        .otherwise(F.array(_open(path, value, True)).cast(_OPEN_NODES))
     )
 
 
 def _variant_nodes(column: Column, max_depth: int, lists: str) -> Column:
-    open_nodes = F.when(
-        _is_object(column),
-        F.array(_open(F.lit(None).cast("string"), column, False)),
-    ).cast(_OPEN_NODES)
+    found = _entries(F.lit(""), column, first=True)
     for _ in range(max_depth):
-        open_nodes = F.flatten(
-            F.transform(open_nodes, lambda node: _expand(node, lists))
+        found = F.flatten(
+            F.transform(found, lambda node: _expand(node, lists))
         )
+    # A node still open is an entry of a dict one level too deep.
     deeper = F.raise_error(
-        F.lit(f"record is nested deeper than max_depth={max_depth}")
+        F.lit(f"dicts are nested deeper than max_depth={max_depth}")
     ).cast("string")
-
-    def closed(node: Column) -> Column:
-        value = node.getField("value")
-        done = node.getField("leaf") | (
-            F.try_variant_get(value, "$", "map<string,variant>").isNull()
-            & F.try_variant_get(value, "$", "array<variant>").isNull()
-        )
-        return F.struct(
-            node.getField("path").alias("path"),
-            F.when(done, F.to_json(value)).otherwise(deeper).alias("value"),
-        )
-
-    return F.coalesce(F.transform(open_nodes, closed), _no_nodes())
+    closed = F.transform(
+        found,
+        lambda node: _full_node(
+            node.getField("path"),
+            F.when(
+                node.getField("leaf"), F.to_json(node.getField("value"))
+            ).otherwise(deeper),
+        ),
+    )
+    return F.coalesce(closed, _no_nodes())
 
 
 def _check(lists: str, nulls: str) -> None:
@@ -284,8 +279,8 @@ def nodes(
     once without descending into it. Dicts inside a list keep the list's path.
 
     A typed column cannot tell an absent key from ``null``: ``nulls`` drops
-    them or emits ``null``. A VARIANT column is exact; one deeper than
-    ``max_depth`` levels (dicts and lists both count) fails the query.
+    them or emits ``null``. A VARIANT column is exact; one with dicts nested
+    deeper than ``max_depth`` levels fails the query.
     """
     return F.array_compact(_raw_nodes(df, column, lists, nulls, max_depth))
 

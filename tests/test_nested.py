@@ -207,6 +207,21 @@ def test_too_deep_a_record_fails(spark):
         node_map(df, "record", max_depth=2).collect()
 
 
+def test_depth_counts_dicts_also_inside_lists(spark):
+    for record, depth in (
+        ({"a": [[{"x": 1}]]}, 1),
+        ({"a": [{"b": [1, 2]}]}, 2),
+        ({"a": [{"b": [{"c": []}, {"c": [0]}]}]}, 3),
+        ({"a": {"b": {}}}, 2),
+    ):
+        df = variants(spark, [record])
+        got = node_map(df, "record", max_depth=depth).collect()
+        assert normal([(r.path, r.value) for r in got]) == normal(leaves(record))
+        if depth > 1 and leaves(record):
+            with pytest.raises(Exception, match="max_depth"):
+                node_map(df, "record", max_depth=depth - 1).collect()
+
+
 def test_nothing_is_shuffled(spark, plan_of):
     df = typed(spark, typed_records())
     for query in (
