@@ -29,6 +29,20 @@ EDGE_COLUMNS = [
 ]
 
 
+def _hashed(columns: list[str]) -> Column:
+    """A hash to group by along with ``columns``; the groups stay the same.
+
+    Adaptive execution splits a hot key only in a join whose inputs come
+    straight from a shuffle. An aggregate by the join key alone is taken as
+    partitioned already and sits between the two; one by key and hash is not.
+    """
+    return F.xxhash64(*columns).alias("_hash")
+
+
+def _distinct(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*columns, _hashed(columns)).distinct().drop("_hash")
+
+
 def _key_table(target: DataFrame, keys, key: str) -> DataFrame:
     """Distinct non-NULL keys, typed like the target's key column."""
     if isinstance(keys, DataFrame):
@@ -38,7 +52,7 @@ def _key_table(target: DataFrame, keys, key: str) -> DataFrame:
         table = target.sparkSession.createDataFrame(
             [(k,) for k in keys], schema
         )
-    return table.filter(F.col(key).isNotNull()).distinct()
+    return _distinct(table.filter(F.col(key).isNotNull()), [key])
 
 
 def _short_list(keys) -> list | None:
@@ -128,7 +142,7 @@ def upsert(
     ]
     collapsed = (
         updates.withColumn(key, _required_key(key))
-        .groupBy(key)
+        .groupBy(key, _hashed([key]))
         .agg(*latest, unknown.alias("_unknown"))
         .filter(
             F.when(F.col("_unknown").isNull(), F.lit(True)).otherwise(
@@ -137,7 +151,7 @@ def upsert(
                 ).cast("boolean")
             )
         )
-        .drop("_unknown")
+        .drop("_unknown", "_hash")
     )
 
     def new_value(name: str) -> Column:
@@ -175,13 +189,16 @@ def _one_per_key(
 ) -> DataFrame:
     """``(key, _row)`` with the winning record of every key."""
     record = F.struct(*[F.col(c) for c in updates.columns if c != key])
-    keyed = updates.withColumn(key, _required_key(key)).groupBy(key)
+    keyed = updates.withColumn(key, _required_key(key)).groupBy(
+        key, _hashed([key])
+    )
     if seq is not None:
-        return keyed.agg(F.max_by(record, F.col(seq)).alias("_row"))
+        latest = F.max_by(record, F.col(seq))
+        return keyed.agg(latest.alias("_row")).drop("_hash")
     single = F.when(F.count(F.lit(1)) == 1, F.any_value(record)).otherwise(
         F.raise_error(F.lit(f"several updates for one {key}; give seq"))
     )
-    return keyed.agg(single.alias("_row"))
+    return keyed.agg(single.alias("_row")).drop("_hash")
 
 
 def _mask_tree(mask: Iterable[str]) -> dict:
@@ -342,7 +359,7 @@ def _append_new(
     Only the few rows found in both are compared with the additions, so that
     a small addition leaves the existing rows unshuffled.
     """
-    fresh = added.select(*columns).distinct()
+    fresh = _distinct(added, columns)
     held = existing.join(fresh, columns, "left_semi")
     return existing.unionByName(fresh.join(held, columns, "left_anti"))
 

@@ -8,13 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Epoch functions read zone-less timestamps as UTC; JSON objects with a
-# repeated key keep the last value instead of being rejected.
+# repeated key keep the last value instead of being rejected; a hot join key is
+# split even where that costs one more shuffle afterwards.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+SPLIT_PARTS = 8
+
 _local_root: str | None = None
 
 
@@ -45,16 +49,18 @@ def get_spark(
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
-    """A file scan with at least one partition per core.
+    """A file scan with work for every core.
 
     A small file of one row group is one split, which leaves heavy work on its
-    rows to a single core. A scan that has splits enough is returned as it is,
-    so large inputs are never shuffled by this.
+    rows to a single core. A scan that has a split per core is returned as it
+    is, so large inputs are never shuffled by this; otherwise each split is
+    cut into at most ``SPLIT_PARTS``.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(min(cores, splits * SPLIT_PARTS))
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -47,7 +47,8 @@ def log_batches(
     Every task context in the batch gets a ``ran`` message first and then
     ``succeeded`` or ``failed``; a failure is raised again. A batch writes
     each result to its own folder ``batch_id=/result=`` and overwrites it, so
-    a batch that is run again leaves one message per context and result.
+    a batch that is run again leaves one message per context and result. The
+    batch is kept while it is worked on, as it is read three times.
     """
 
     def report(batch: DataFrame, batch_id: int, result: str) -> None:
@@ -58,13 +59,17 @@ def log_batches(
         messages.write.mode("overwrite").parquet(target)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        report(batch, batch_id, RAN)
+        batch.persist()
         try:
-            work(batch, batch_id)
-        except Exception:
-            report(batch, batch_id, FAILED)
-            raise
-        report(batch, batch_id, SUCCEEDED)
+            report(batch, batch_id, RAN)
+            try:
+                work(batch, batch_id)
+            except Exception:
+                report(batch, batch_id, FAILED)
+                raise
+            report(batch, batch_id, SUCCEEDED)
+        finally:
+            batch.unpersist()
 
     return run
 
