@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from opsframe.functions.json_text import TIME_FORMATS
+from opsframe.operators import batch_ids
 from opsframe.plans.registry import query, table
 from opsframe.session import scratch_path
 from opsframe.sources import (
@@ -95,12 +96,10 @@ def _read_json_lines(spark, sf_dir):
 )
 def _read_json_document(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    # A document holds a bounded range of the unique key.
-    document = F.call_function(
-        "div", F.col("c_custkey"), F.lit(DOCUMENT_ROWS)
-    )
+    # Numbered batches, so that no document can outgrow its bound.
     documents = (
-        customer.groupBy(document.alias("document"))
+        batch_ids(customer, DOCUMENT_ROWS, "c_custkey", "document")
+        .groupBy("document")
         .agg(F.collect_list(F.to_json(F.struct(*customer.columns))).alias("_r"))
         .select(
             "document",
@@ -179,12 +178,11 @@ def _read_report_csv(spark, sf_dir):
 
 
 def _pages(df, key, fields):
-    """Payloads of up to 100 rows each; the key is unique, so pages are
-    bounded."""
-    page = F.call_function("div", F.col(key), F.lit(PAGE_ITEMS))
+    """Payloads of up to 100 rows each, in the order of the key."""
     item = F.struct(*fields)
     return (
-        df.groupBy(page.alias("page_no"))
+        batch_ids(df.select(*fields), PAGE_ITEMS, key, "page_no")
+        .groupBy("page_no")
         .agg(F.array_sort(F.collect_list(item)).alias("results"))
         .select(
             F.lit("calls").alias("source"),
@@ -211,12 +209,11 @@ def _pages(df, key, fields):
 @query(
     "read_pages",
     """
-    SELECT CAST(event_id // 100 AS BIGINT) AS page_no,
-           CAST(row_number() OVER (
-             PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS INTEGER)
-             AS pos,
+    SELECT CAST(n // 100 AS BIGINT) AS page_no, CAST(n % 100 AS INTEGER) AS pos,
            event_id, event_type, value
-    FROM events
+    FROM (SELECT event_id, event_type, value,
+                 row_number() OVER (ORDER BY event_id) - 1 AS n
+          FROM events)
     """,
 )
 def _read_pages(spark, sf_dir):
@@ -234,8 +231,11 @@ def _read_pages(spark, sf_dir):
     "missing_pages",
     """
     WITH landed AS (
-      SELECT o_orderkey // 100 AS page_no
-      FROM orders GROUP BY 1
+      SELECT n // 100 AS page_no
+      FROM (SELECT o_orderstatus,
+                   row_number() OVER (ORDER BY o_orderkey) - 1 AS n
+            FROM orders)
+      GROUP BY 1
       HAVING count(*) FILTER (WHERE o_orderstatus = 'P') <= 36
     )
     SELECT 'calls' AS source, CAST(page_no + 1 AS VARCHAR) AS token
