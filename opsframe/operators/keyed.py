@@ -152,6 +152,9 @@ def upsert(
             )
         )
         .drop("_unknown", "_hash")
+        # True of every row. Said here, it is the same in both joins below,
+        # which can then share the shuffled updates.
+        .filter(F.col(key).isNotNull())
     )
 
     def new_value(name: str) -> Column:
