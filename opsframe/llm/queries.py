@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from opsframe.llm.common import table
 from opsframe.llm.decontaminate import contamination
+from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
 from opsframe.llm.sharding import shard_rows
+from opsframe.llm.token_file import read_documents, write_token_files
+from opsframe.session import scratch_path
 
 SHARDS = 40
+END_ID = 2
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from token files."""
+    path = scratch_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_token_files(docs, path, BYTE_VOCABULARY, END_ID, parts)
+    return read_documents(spark, path)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,14 +41,23 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    return piece_digests(
+        table(spark, sf_dir, "documents"), PIECE_VOCABULARY, check="runs"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the verdict of the rules."""
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_token_file": op3_token_file,
     "op4_decontamination": op4_decontamination,
     "op6_sharding": op6_sharding,
+    "op8_piece_encoding": op8_piece_encoding,
     "op9_quality_rules": op9_quality_rules,
 }
 
