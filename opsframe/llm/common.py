@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 
 from opsframe.session import configure, scratch_path
 
-# Rows handed to a Python worker at once; texts are long, so fewer than usual.
-BATCH_ROWS = 1000
+# Rows and bytes handed to a Python worker at once, whichever comes first.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """The session with the settings the text operators rely on."""
     configure(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) != str(BATCH_ROWS):
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -1,47 +1,84 @@
-"""A bounded table of results that were worked out before."""
+"""Token ids of many texts by way of their distinct stretches."""
 
 from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 
-class Kept(dict):
-    """Key -> result. When full, half of the room is given to new results, and
-    an old one moves over when it is asked for again, so that frequent keys
-    stay; what was not asked for since the last time goes.
+# Stretches encoded, and stretches of texts looked up, at once.
+NEW_AT_ONCE = 5_000
+BLOCK = 1 << 21
 
-    ``make`` works out the results of a list of keys. Keys longer than
-    ``longest`` are worked out each time.
+
+class Kept:
+    """Stretch -> its ids, as bytes of little-endian 32-bit integers.
+
+    When full, half of the room is given to new results, and an old one moves
+    over when it is asked for again, so that frequent stretches stay; what was
+    not asked for since the last time goes. Stretches longer than ``longest``
+    are worked out each time.
     """
 
-    def __init__(self, make, room: int, longest: int):
-        super().__init__()
+    def __init__(self, make: Callable, room: int, longest: int):
         self.make, self.room, self.longest = make, room // 2, longest
-        self.old: dict = {}
-
-    def fill(self, keys: set) -> None:
-        """Make all keys of a batch available at once."""
-        if len(self) >= self.room:
-            self.old = dict(self)
-            self.clear()
-        new = []
-        for key in keys:
-            if key not in self:
-                found = self.old.get(key)
-                if found is None:
-                    if len(key) <= self.longest:
-                        new.append(key)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids_of(self, stretches: list[str]) -> list[bytes]:
+        """Ids of distinct stretches."""
+        found = [self.new.get(x) for x in stretches]
+        missing = []
+        for k, ids in enumerate(found):
+            if ids is None:
+                ids = found[k] = self.old.get(stretches[k])
+                if ids is None:
+                    missing.append(k)
                 else:
-                    self[key] = found
-        if new:
-            self.update(zip(new, self.make(new)))
+                    self._keep(stretches[k], ids)
+        for start in range(0, len(missing), NEW_AT_ONCE):
+            some = missing[start : start + NEW_AT_ONCE]
+            for k, ids in zip(some, self.make([stretches[k] for k in some])):
+                found[k] = ids
+                if len(stretches[k]) <= self.longest:
+                    self._keep(stretches[k], ids)
+        return found
+
+    def _keep(self, stretch: str, ids: bytes) -> None:
+        if len(self.new) >= self.room:
+            self.old, self.new = self.new, {}
+        self.new[stretch] = ids
 
-    def __missing__(self, key):
-        return self.make([key])[0]
+    def join(self, stretches: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, given as lists of stretches, and the place
+        where each text begins, with the end of the last."""
+        values = stretches.flatten()
+        tokens, ends = [], [np.zeros(1, np.int64)]
+        for start in range(0, len(values), BLOCK):
+            coded = values.slice(start, BLOCK).dictionary_encode()
+            found = self.ids_of(coded.dictionary.to_pylist())
+            data = np.frombuffer(b"".join(found), "<u4")
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            codes = coded.indices.to_numpy()
+            size = sizes[codes]
+            end = np.cumsum(size)
+            shift = np.cumsum(sizes)[codes] - end
+            tokens.append(
+                data[np.arange(end[-1]) + np.repeat(shift, size)]
+            )
+            ends.append(end + ends[-1][-1])
+        lengths = stretches.value_lengths().to_numpy(zero_copy_only=False)
+        places = np.r_[0, np.cumsum(lengths)].astype(np.int64)
+        return (
+            np.concatenate(tokens) if tokens else np.zeros(0, "<u4"),
+            np.concatenate(ends)[places],
+        )
 
 
-def per_worker(name: str, *args, make):
+def per_worker(name: str, *args, make: Callable):
     """``make(*args)``, kept for the life of a Python worker.
 
     Functions reach a worker anew with every task and bring their globals

@@ -29,6 +29,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ MARK = "▁"
 # A run: marks and what follows up to the next mark.
 RUN = re.compile(f"{MARK}+[^{MARK}]*")
 # Runs kept per worker, and the longest that is kept.
-KEPT_RUNS = 1_000_000
+KEPT_RUNS = 500_000
+KEPT_SEGMENTS = 200_000
 KEPT_CHARS = 40
 
 
@@ -71,6 +73,10 @@ class Vocabulary:
         self.costs = {
             p: -self.library.get_score(i) for p, i in self.ids.items()
         }
+        self.pairs = {
+            pair for p in self.ids for pair in map(add, p, p[1:])
+        }
+        self.known: dict[str, list[str]] = {}
         self.unknown = self.library.unk_id()
         self.by_runs = not any(
             re.search(f"[^{MARK}]{MARK}", piece) for piece in self.ids
@@ -109,10 +115,35 @@ class Vocabulary:
                     heappush(agenda, (cost, last, made))
         return [s for s in symbols if s]
 
+    def segments(self, text: str) -> list[str]:
+        """The text cut between characters that no piece has side by side,
+        where no merge can cross."""
+        cuts = [
+            at
+            for at, pair in enumerate(map(add, text, text[1:]), 1)
+            if pair not in self.pairs
+        ]
+        if not cuts:
+            return [text]
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+
     def encode_run(self, text: str) -> list[int]:
         """Ids of a marked text."""
         found = []
-        for symbol in self.merge(text):
+        for segment in self.segments(text):
+            symbols = self.known.get(segment)
+            if symbols is None:
+                symbols = self.merge(segment)
+                if len(segment) <= KEPT_CHARS:
+                    if len(self.known) >= KEPT_SEGMENTS:
+                        self.known.clear()
+                    self.known[segment] = symbols
+            found += symbols
+        return self.numbered(found)
+
+    def numbered(self, symbols: list[str]) -> list[int]:
+        found: list[int] = []
+        for symbol in symbols:
             i = self.ids.get(symbol)
             if i is not None:
                 found.append(i)
@@ -136,38 +167,47 @@ class Encoder:
 
     def __init__(self, words: Vocabulary):
         self.words = words
-        self.ids = Kept(self._new, KEPT_RUNS, KEPT_CHARS)
+        self.decimals = list(map(str, range(words.library.vocab_size())))
+        self.kept = Kept(self._ids, KEPT_RUNS, KEPT_CHARS)
 
-    def _new(self, runs: list[str]) -> list[bytes]:
-        """Encode runs and hold them against the library.
+    def _ids(self, runs: list[str]) -> list[bytes]:
+        """Encode runs, given without their first mark, and hold them against
+        the library.
 
-        The library puts a mark in front of what it is given, so it gets a run
-        without its first mark; for nothing but that mark it has no ids.
+        The library puts a mark in front of what it is given; for nothing but
+        that mark it has no ids.
         """
-        found = [self.words.encode_run(run) for run in runs]
-        known = [k for k, run in enumerate(runs) if run != MARK]
-        plain = [runs[k][1:] for k in known]
+        found = [self.words.encode_run(MARK + run) for run in runs]
+        known = [k for k, run in enumerate(runs) if run]
+        plain = [runs[k] for k in known]
         compare(
             [found[k] for k in known],
             self.words.library.encode(plain, num_threads=1),
             plain,
         )
-        return [np.array(x, np.int32).tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts, with the leading mark the library adds."""
-        parts = [
-            self._runs(MARK + text.replace(" ", MARK)) if text else []
-            for text in texts
-        ]
-        self.ids.fill(set().union(*parts))
-        get = self.ids.__getitem__
-        return [
-            np.frombuffer(b"".join(map(get, runs)), np.int32) for runs in parts
-        ]
-
-    def _runs(self, marked: str) -> list[str]:
-        return RUN.findall(marked) if self.words.by_runs else [marked]
+        return [np.array(x, "<u4").tobytes() for x in found]
+
+    def _runs(self, text: str) -> list[str]:
+        """Runs of a text with the leading mark the library adds."""
+        if not text:
+            return []
+        marked = MARK + text.replace(" ", MARK)
+        if not self.words.by_runs:
+            return [marked[1:]]
+        return [run[1:] for run in RUN.findall(marked)]
+
+    def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Ids of each text."""
+        plain = texts.to_pylist()
+        if not self.words.by_runs or any(
+            x[:1] in ("", " ") or x[-1:] == " " or "  " in x or MARK in x
+            for x in plain
+        ):
+            cut = pa.array(map(self._runs, plain), pa.list_(pa.string()))
+        else:
+            cut = pc.split_pattern(texts, " ")
+        ids, edges = self.kept.join(cut)
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]
 
 
 def load_encoder(model_path: str) -> Encoder:
@@ -191,10 +231,12 @@ def piece_digests(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker("piece encoder", model_path, make=load_encoder)
         library = encoder.words.library
+        decimal = encoder.decimals.__getitem__
         for docs in batches:
-            texts = docs.column(docs.num_columns - 1).to_pylist()
+            texts = docs.column(docs.num_columns - 1)
             ids = [x.tolist() for x in encoder.encode(texts)]
             if check == "texts":
+                texts = texts.to_pylist()
                 compare(
                     ids, library.encode(texts, num_threads=1), texts
                 )
@@ -205,7 +247,7 @@ def piece_digests(
                 pa.array(
                     [
                         hashlib.sha256(
-                            ",".join(map(str, x)).encode()
+                            ",".join(map(decimal, x)).encode()
                         ).hexdigest()
                         for x in ids
                     ],

@@ -10,6 +10,7 @@ from opsframe.llm.decontaminate import contamination
 from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
 from opsframe.llm.sharding import shard_rows
+from opsframe.llm.simhash import near_duplicates
 from opsframe.llm.token_file import read_documents, write_token_files
 from opsframe.session import scratch_path
 
@@ -19,6 +20,11 @@ BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints are nearly equal."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from token files."""
     path = scratch_path(spark, "tokens")
@@ -54,6 +60,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_token_file": op3_token_file,
     "op4_decontamination": op4_decontamination,
     "op6_sharding": op6_sharding,

@@ -23,10 +23,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ from opsframe.llm.kept import Kept, per_worker
 
 SEGMENT_TOKENS = 1 << 20
 RANK_BITS = 512
-KEPT_WORDS = 1_000_000
+KEPT_STRETCHES = 600_000
 KEPT_CHARS = 60
 
 
@@ -101,18 +103,36 @@ def token_at(levels: list[dict], i: int) -> int:
 # --- encoding ----------------------------------------------------------------
 
 
-# The end of a stretch that the tokenizer splits by itself: it never joins a
-# character that is no white space to a space behind it.
-STRETCH = re.compile(r"(?<=\S) ")
-AFTER_SPACE = re.compile(r"\s ")
+# The tokenizer never joins a character that is no white space to a space
+# behind it, so texts can be cut in front of such a space.
+CUT = re.compile(r"(?<=\S) ")
+UNCLEAR_CUT = re.compile(r"\s ")
+# Stands before the first stretch of a text; the others follow a space.
+HEAD = "\0"
+# Letters below this are letters in every version of Unicode at hand, and these
+# marks are pieces of their own behind a letter.
+PLAIN_BELOW = "\u0250"
+MARKS = ".,;:!?"
+
+
+def byte_signs() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: a
+    visible Latin-1 character for itself, the rest numbered from U+0100."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(others)) for b in range(256)]
+
+
+SIGNS = byte_signs()
+SPACE_SIGN = SIGNS[0x20]
 
 
 class Encoder:
-    """The tokenizers library, asked once for each stretch of a batch.
+    """The tokenizers library, asked once for each stretch of text.
 
     A byte-level vocabulary is applied to each stretch apart, so joining the
     ids of stretches gives the ids of the text. A text with the string of an
-    added token goes to the library as a whole.
+    added token, or with the sign for heads, goes to the library as a whole.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -122,40 +142,68 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self.added = [token.content for token in added]
-        self.later = Kept(self._behind_space, KEPT_WORDS, KEPT_CHARS)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(
-            texts, add_special_tokens=False
-        )
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _behind_space(self, stretches: list[str]) -> list[bytes]:
-        return self._ids([" " + x for x in stretches])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts as little-endian 32-bit integers."""
-        parts = []
-        for text in texts:
-            if any(token in text for token in self.added):
-                parts.append([text])
-            elif AFTER_SPACE.search(text):
-                parts.append(STRETCH.split(text))
+        whole = "|".join(re.escape(t.content) for t in added)
+        self.whole = re.compile(f"{HEAD}|{whole}" if whole else HEAD)
+        self.model = self.tokenizer.model
+        self.marks = {
+            mark: self.tokenizer.encode(mark, add_special_tokens=False).ids
+            for mark in MARKS
+        }
+        self.kept = Kept(self._ids, KEPT_STRETCHES, KEPT_CHARS)
+
+    def _ids(self, stretches: list[str]) -> list[bytes]:
+        """Ids of stretches. A plain word, with one mark at most behind it, is
+        one or two pieces of text for the model and skips what the library
+        does to find them."""
+        found: list = [None] * len(stretches)
+        others = []
+        for k, stretch in enumerate(stretches):
+            word = stretch
+            mark = self.marks.get(word[-1:])
+            if mark is not None:
+                word = word[:-1]
+            if word.isalpha() and max(word) < PLAIN_BELOW:
+                if not word.isascii():
+                    word = "".join(map(SIGNS.__getitem__, word.encode()))
+                ids = [x.id for x in self.model.tokenize(SPACE_SIGN + word)]
+                if mark is not None:
+                    ids += mark
+                found[k] = ids
             else:
-                parts.append(_at_spaces(text))
-        self.later.fill(set().union(*(p[1:] for p in parts)))
-        heads = self._ids([p[0] for p in parts])
-        return [
-            head + b"".join(map(self.later.__getitem__, p[1:]))
-            for head, p in zip(heads, parts)
-        ]
-
-
-def _at_spaces(text: str) -> list[str]:
-    head, *tail = text.split(" ")
-    # A leading space belongs to the stretch behind it.
-    return [f" {tail[0]}", *tail[1:]] if not head and tail else [head, *tail]
+                others.append(k)
+        if others:
+            more = self.tokenizer.encode_batch_fast(
+                [
+                    stretches[k][1:]
+                    if stretches[k][:1] == HEAD
+                    else f" {stretches[k]}"
+                    for k in others
+                ],
+                add_special_tokens=False,
+            )
+            for k, x in zip(others, more):
+                found[k] = x.ids
+        return [array("I", x).tobytes() for x in found]
+
+    def _stretches(self, text: str) -> list[str]:
+        if self.whole.search(text):
+            return [HEAD + text]
+        head, *tail = CUT.split(text)
+        return [HEAD + head, *tail]
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and where each text begins."""
+        plain = texts.to_pylist()
+        if any(
+            x[:1] == " " or UNCLEAR_CUT.search(x) or self.whole.search(x)
+            for x in plain
+        ):
+            cut = pa.array(map(self._stretches, plain), pa.list_(pa.string()))
+        else:
+            cut = pc.split_pattern(
+                pc.binary_join_element_wise(HEAD, texts, ""), " "
+            )
+        return self.kept.join(cut)
 
 
 # --- files -------------------------------------------------------------------
@@ -222,12 +270,13 @@ def write_token_files(
 
         for rows in batches:
             kind = rows.schema.field(0).type
-            texts = encoder.encode(rows.column(1).to_pylist())
-            for doc, text in zip(rows.column(0).to_pylist(), texts):
+            tokens, edges = encoder.encode(rows.column(1))
+            docs = rows.column(0).to_pylist()
+            for doc, a, b in zip(docs, edges, edges[1:]):
                 ids.append(doc)
                 starts.append(size)
-                held.append(text + end)
-                size += len(held[-1]) // 4
+                held += (tokens[a:b].tobytes(), end)
+                size += int(b - a) + 1
                 if size >= segment_tokens:
                     yield flush()
                     ids, starts, held, size = [], [], [], 0
