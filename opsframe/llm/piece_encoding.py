@@ -38,9 +38,12 @@ from opsframe.llm.kept import Kept, per_worker
 MARK = "▁"
 # A run: marks and what follows up to the next mark.
 RUN = re.compile(f"{MARK}+[^{MARK}]*")
+# Characters up to which an agenda is a plain list.
+SHORT = 40
+NEVER = float("inf")
 # Runs kept per worker, and the longest that is kept.
-KEPT_RUNS = 500_000
-KEPT_SEGMENTS = 200_000
+KEPT_RUNS = 1_000_000
+KEPT_SEGMENTS = 300_000
 KEPT_CHARS = 40
 
 
@@ -76,7 +79,7 @@ class Vocabulary:
         self.pairs = {
             pair for p in self.ids for pair in map(add, p, p[1:])
         }
-        self.known: dict[str, list[str]] = {}
+        self.known: dict[str, list[int]] = {}
         self.unknown = self.library.unk_id()
         self.by_runs = not any(
             re.search(f"[^{MARK}]{MARK}", piece) for piece in self.ids
@@ -84,6 +87,27 @@ class Vocabulary:
 
     def merge(self, text: str) -> list[str]:
         """The symbols that no further merge can join."""
+        if len(text) > SHORT:
+            return self.merge_long(text)
+        # The agenda of a short text is the list of its pairs' costs, looked
+        # over for the lowest, which is quicker than keeping it in order.
+        symbols = list(text)
+        cost_of = self.costs.get
+        agenda = [
+            cost_of(pair, NEVER) for pair in map(add, symbols, symbols[1:])
+        ]
+        while agenda and (best := min(agenda)) != NEVER:
+            at = agenda.index(best)
+            made = symbols[at] = symbols[at] + symbols.pop(at + 1)
+            del agenda[at]
+            if at < len(agenda):
+                agenda[at] = cost_of(made + symbols[at + 1], NEVER)
+            if at:
+                agenda[at - 1] = cost_of(symbols[at - 1] + made, NEVER)
+        return symbols
+
+    def merge_long(self, text: str) -> list[str]:
+        """The same with the agenda in a heap, for texts of any length."""
         symbols = list(text)
         n = len(symbols)
         before, behind = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -129,19 +153,22 @@ class Vocabulary:
 
     def encode_run(self, text: str) -> list[int]:
         """Ids of a marked text."""
+        if not self.bytes:
+            return self.numbered(self.merge(text))
         found = []
         for segment in self.segments(text):
-            symbols = self.known.get(segment)
-            if symbols is None:
-                symbols = self.merge(segment)
+            ids = self.known.get(segment)
+            if ids is None:
+                ids = self.numbered(self.merge(segment))
                 if len(segment) <= KEPT_CHARS:
                     if len(self.known) >= KEPT_SEGMENTS:
                         self.known.clear()
-                    self.known[segment] = symbols
-            found += symbols
-        return self.numbered(found)
+                    self.known[segment] = ids
+            found += ids
+        return found
 
     def numbered(self, symbols: list[str]) -> list[int]:
+        """Ids of symbols, bytes or one unknown id for those without."""
         found: list[int] = []
         for symbol in symbols:
             i = self.ids.get(symbol)
