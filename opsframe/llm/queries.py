@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from opsframe.llm.chat_tree import format_conversations, read_back, with_probe
 from opsframe.llm.common import table
 from opsframe.llm.decontaminate import contamination
 from opsframe.llm.piece_encoding import piece_digests
@@ -47,6 +48,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from the prefix tree."""
+    rows = with_probe(spark, table(spark, sf_dir, "conversations"))
+    return read_back(format_conversations(rows, BYTE_VOCABULARY), BYTE_VOCABULARY)
+
+
 def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     return piece_digests(
@@ -64,8 +71,34 @@ QUERIES = {
     "op3_token_file": op3_token_file,
     "op4_decontamination": op4_decontamination,
     "op6_sharding": op6_sharding,
+    "op7_chat_tree": op7_chat_tree,
     "op8_piece_encoding": op8_piece_encoding,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ESCAPED = """replace(replace(replace(replace(replace(replace(
+    coalesce({0}, ''), '\\', '\\\\'), '<|', '<\\|'), '</s>', '<\\/s>'),
+    '<s>', '<\\s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"""
+
+CHAT_SQL = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role,
+        coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL
+    SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), ''
+        ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT)
+        AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+        FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|turn|>' || {ESCAPED.format("role")} || '<|text|>'
+        || {ESCAPED.format("text")} || '</s>')) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op7_chat_tree": CHAT_SQL}
