@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opsframe.llm.chat_tree import format_conversations, read_back, with_probe
 from opsframe.llm.common import table
+from opsframe.llm.cotraining import SCORES, score, train
 from opsframe.llm.decontaminate import contamination
 from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
@@ -21,6 +22,13 @@ BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from co-trained views."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", *SCORES)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints are nearly equal."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -67,6 +75,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
     "op3_token_file": op3_token_file,
     "op4_decontamination": op4_decontamination,
@@ -91,10 +100,10 @@ WITH rows AS (
 )
 SELECT conv_id, count(*) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), ''
-        ORDER BY turn, role, text)) AS turns_sha256,
+        ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
     CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT)
         AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
         FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length('<|turn|>' || {ESCAPED.format("role")} || '<|text|>'
         || {ESCAPED.format("text")} || '</s>')) AS BIGINT) AS formatted_chars
