@@ -13,11 +13,14 @@ from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
 from opsframe.llm.sharding import shard_rows
 from opsframe.llm.simhash import near_duplicates
+from opsframe.llm.surrogates import replace_entities
 from opsframe.llm.token_file import read_documents, write_token_files
 from opsframe.session import scratch_path
 
 SHARDS = 40
 END_ID = 2
+# Of a real corpus the key must be secret; this one makes results repeatable.
+SURROGATE_KEY = "a key for tests and demonstrations"
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -74,6 +77,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return replace_entities(
+        table(spark, sf_dir, "documents"), SURROGATE_KEY
+    ).select("doc_id", "text", "n_replaced", "kinds")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
@@ -83,6 +93,7 @@ QUERIES = {
     "op7_chat_tree": op7_chat_tree,
     "op8_piece_encoding": op8_piece_encoding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_surrogates": op10_surrogates,
 }
 
 ESCAPED = """replace(replace(replace(replace(replace(replace(
