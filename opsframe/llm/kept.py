@@ -30,27 +30,31 @@ class Kept:
 
     def ids_of(self, stretches: list[str]) -> list[bytes]:
         """Ids of distinct stretches."""
-        found = [self.new.get(x) for x in stretches]
-        missing = []
-        for k, ids in enumerate(found):
+        found = list(map(self.new.get, stretches))
+        missing, again = [], {}
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            ids = self.old.get(stretches[k])
             if ids is None:
-                ids = found[k] = self.old.get(stretches[k])
-                if ids is None:
-                    missing.append(k)
-                else:
-                    self._keep(stretches[k], ids)
+                missing.append(k)
+            else:
+                found[k] = again[stretches[k]] = ids
+        self._keep(again)
         for start in range(0, len(missing), NEW_AT_ONCE):
             some = missing[start : start + NEW_AT_ONCE]
-            for k, ids in zip(some, self.make([stretches[k] for k in some])):
+            texts = [stretches[k] for k in some]
+            made = self.make(texts)
+            for k, ids in zip(some, made):
                 found[k] = ids
-                if len(stretches[k]) <= self.longest:
-                    self._keep(stretches[k], ids)
+            self._keep(
+                {x: i for x, i in zip(texts, made) if len(x) <= self.longest}
+            )
         return found
 
-    def _keep(self, stretch: str, ids: bytes) -> None:
-        if len(self.new) >= self.room:
-            self.old, self.new = self.new, {}
-        self.new[stretch] = ids
+    def _keep(self, found: dict[str, bytes]) -> None:
+        if len(self.new) + len(found) > self.room:
+            self.old, self.new = self.new, found
+        else:
+            self.new |= found
 
     def join(self, stretches: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, given as lists of stretches, and the place
@@ -65,10 +69,11 @@ class Kept:
             codes = coded.indices.to_numpy()
             size = sizes[codes]
             end = np.cumsum(size)
-            shift = np.cumsum(sizes)[codes] - end
-            tokens.append(
-                data[np.arange(end[-1]) + np.repeat(shift, size)]
-            )
+            # A block is short enough for 32-bit places within it.
+            shift = (np.cumsum(sizes)[codes] - end).astype(np.int32)
+            place = np.repeat(shift, size)
+            place += np.arange(len(place), dtype=np.int32)
+            tokens.append(data.take(place))
             ends.append(end + ends[-1][-1])
         lengths = stretches.value_lengths().to_numpy(zero_copy_only=False)
         places = np.r_[0, np.cumsum(lengths)].astype(np.int64)

@@ -38,7 +38,7 @@ from opsframe.llm.kept import Kept, per_worker
 
 SEGMENT_TOKENS = 1 << 20
 RANK_BITS = 512
-KEPT_STRETCHES = 600_000
+KEPT_STRETCHES = 1_000_000
 KEPT_CHARS = 60
 
 
