@@ -356,16 +356,21 @@ SCORES = ("p_text", "p_meta", "score", "kept")
 
 
 def score(
-    docs: DataFrame, model: Model | None, threshold: float = THRESHOLD
+    docs: DataFrame,
+    model: Model | None,
+    threshold: float = THRESHOLD,
+    prefix: str = "",
 ) -> DataFrame:
     """The columns of ``docs`` with the calibrated probability of each view,
-    that of both, and whether the page is kept."""
-    plain = [f"`{c}`" for c in docs.columns if c not in SCORES]
+    that of both, and whether the page is kept. ``prefix`` goes in front of the
+    names of these columns."""
+    made = [prefix + c for c in SCORES]
+    plain = [f"`{c}`" for c in docs.columns if c not in made]
     if model is None:
         return docs.select(
             *plain,
-            *(F.lit(None).cast("double").alias(c) for c in SCORES[:3]),
-            F.lit(True).alias("kept"),
+            *(F.lit(None).cast("double").alias(c) for c in made[:3]),
+            F.lit(True).alias(made[3]),
         )
     # Plain tuples, which a task can read without this package.
     shared = docs.sparkSession.sparkContext.broadcast(
@@ -403,7 +408,7 @@ def score(
                     pa.array(both, pa.float64()),
                     pa.array(both >= threshold, pa.bool_()),
                 ],
-                names=[*rows.schema.names[:-4], *SCORES],
+                names=[*rows.schema.names[:-4], *made],
             )
 
     kept = docs.select(*plain)
@@ -416,5 +421,15 @@ def score(
         *_meta(docs),
     ).mapInArrow(
         run,
-        f"{schema}, p_text double, p_meta double, score double, kept boolean",
+        f"{schema}, `{made[0]}` double, `{made[1]}` double,"
+        f" `{made[2]}` double, `{made[3]}` boolean",
+    )
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that a classifier trained on ``labels`` keeps."""
+    return (
+        score(docs, train(docs, labels), prefix="_")
+        .where("_kept")
+        .select(*(F.col(f"`{c}`") for c in docs.columns))
     )

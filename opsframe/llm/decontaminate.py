@@ -119,11 +119,15 @@ def spans_of(data: bytes, mask: np.ndarray) -> list[dict]:
     ]
 
 
-OUTPUT = (
-    "n_words long, n_hit long, n_items long, items_sha256 string,"
-    " contaminated boolean, items array<string>,"
-    " spans array<struct<start: long, end: long>>"
-)
+OUTPUT = {
+    "n_words": "long",
+    "n_hit": "long",
+    "n_items": "long",
+    "items_sha256": "string",
+    "contaminated": "boolean",
+    "items": "array<string>",
+    "spans": "array<struct<start: long, end: long>>",
+}
 
 
 def contamination(
@@ -133,11 +137,13 @@ def contamination(
     width: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
     keep: tuple[str, ...] = ("doc_id",),
+    prefix: str = "",
 ) -> DataFrame:
     """The ``keep`` columns of each document and what it shares with items.
 
     ``items`` has ``item_id`` and ``text``. ``spans`` holds the hit passages as
-    character offsets [start, end) into the original text.
+    character offsets [start, end) into the original text. ``prefix`` goes in
+    front of the names of the columns made here.
     """
     spark = docs.sparkSession
     rows = items.select(
@@ -155,13 +161,19 @@ def contamination(
             schema = pa.schema(
                 list(docs.schema)[:-1]
                 + [
-                    ("n_words", pa.int64()),
-                    ("n_hit", pa.int64()),
-                    ("n_items", pa.int64()),
-                    ("items_sha256", pa.string()),
-                    ("contaminated", pa.bool_()),
-                    ("items", pa.list_(pa.string())),
-                    ("spans", pa.list_(item)),
+                    (prefix + name, kind)
+                    for name, kind in zip(
+                        OUTPUT,
+                        (
+                            pa.int64(),
+                            pa.int64(),
+                            pa.int64(),
+                            pa.string(),
+                            pa.bool_(),
+                            pa.list_(pa.string()),
+                            pa.list_(item),
+                        ),
+                    )
                 ]
             )
             texts = docs.column(docs.num_columns - 1)
@@ -200,6 +212,15 @@ def contamination(
     kept = ", ".join(
         f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep
     )
+    made = ", ".join(f"`{prefix}{c}` {kind}" for c, kind in OUTPUT.items())
     return docs.select(
         *(F.col(f"`{c}`") for c in keep), text_bytes(text).alias("_text")
-    ).mapInArrow(run, f"{kept}, {OUTPUT}")
+    ).mapInArrow(run, f"{kept}, {made}")
+
+
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents without any passage of the items."""
+    found = contamination(docs, items, keep=tuple(docs.columns), prefix="_")
+    return found.where("NOT _contaminated").select(
+        *(F.col(f"`{c}`") for c in docs.columns)
+    )

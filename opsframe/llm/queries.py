@@ -9,6 +9,7 @@ from opsframe.llm.chat_tree import format_conversations, read_back, with_probe
 from opsframe.llm.common import table
 from opsframe.llm.cotraining import SCORES, score, train
 from opsframe.llm.decontaminate import contamination
+from opsframe.llm.licences import fit, licences
 from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
 from opsframe.llm.sharding import shard_rows
@@ -54,6 +55,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items", "spans")
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families that the paragraphs of every document declare."""
+    docs = table(spark, sf_dir, "documents")
+    return licences(docs, fit(docs))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards by the hash of its id."""
     return shard_rows(table(spark, sf_dir, "documents"), SHARDS)
@@ -89,6 +96,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_token_file": op3_token_file,
     "op4_decontamination": op4_decontamination,
+    "op5_licences": op5_licences,
     "op6_sharding": op6_sharding,
     "op7_chat_tree": op7_chat_tree,
     "op8_piece_encoding": op8_piece_encoding,

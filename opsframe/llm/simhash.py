@@ -67,21 +67,24 @@ def fingerprint(data: bytes, width: int) -> int:
     return int(majority.view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` of each row."""
+def fingerprints(
+    docs: DataFrame, width: int = 3, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """The ``keep`` columns and ``_fp`` of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            schema = pa.schema([rows.schema.field(0), ("fp", pa.int64())])
-            found = [
-                fingerprint(x, width) for x in rows.column(1).to_pylist()
-            ]
-            yield batch(schema, rows.column(0), found)
-
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(
-        run, f"doc_id {key}, fp long"
+            schema = pa.schema([*list(rows.schema)[:-1], ("_fp", pa.int64())])
+            *kept, texts = rows.columns
+            found = [fingerprint(x, width) for x in texts.to_pylist()]
+            yield batch(schema, *kept, found)
+
+    kept = ", ".join(
+        f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep
     )
+    return docs.select(
+        *(F.col(f"`{c}`") for c in keep), text_bytes().alias("_text")
+    ).mapInArrow(run, f"{kept}, _fp long")
 
 
 def list_positions(shared: int) -> list[tuple[int, ...]]:
@@ -203,20 +206,54 @@ def linked(
     )
 
 
+def roots(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``_fp`` and ``_root``, the lowest fingerprint of its component, for each
+    different fingerprint of the rows."""
+    fps = stored(rows.select(F.col("_fp").alias("fp")).distinct(), "fps")
+    parts = components(linked(fps, max_bits))
+    return fps.join(parts, fps["fp"] == parts["node"], "left").select(
+        F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("_root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 3, max_bits: int = 3
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hex) and ``component_id`` of each row."""
     rows = stored(fingerprints(docs, width), "fingerprints")
-    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
-    parts = components(linked(fps.select("fp"), max_bits))
-    grouped = fps.join(
-        parts, fps["fp"] == parts["node"], "left"
-    ).select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = grouped.join(lows, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select(
+    rooted = stored(roots(rows, max_bits), "roots")
+    lows = (
+        rows.groupBy("_fp")
+        .agg(F.min("doc_id").alias("low"))
+        .join(rooted, "_fp")
+        .groupBy("_root")
+        .agg(F.min("low").alias("component_id"))
+    )
+    labels = rooted.join(lows, "_root").select("_fp", "component_id")
+    return rows.join(labels, "_fp").select(
         "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame, width: int = 3, max_bits: int = 3
+) -> DataFrame:
+    """The columns of ``docs`` for one row of each component: the one with the
+    lowest id, nulls last, and among those with that id the first read."""
+    numbered = docs.withColumn("_uid", F.monotonically_increasing_id())
+    rows = stored(
+        fingerprints(numbered, width, tuple(numbered.columns)), "fingerprints"
+    )
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_uid")
+    lowest = rows.groupBy("_fp").agg(F.min(first).alias("first"))
+    chosen = (
+        lowest.join(roots(rows, max_bits), "_fp")
+        .groupBy("_root")
+        .agg(F.min("first").alias("first"))
+        .select("first._uid")
+    )
+    return rows.join(chosen, "_uid", "left_semi").select(
+        *(F.col(f"`{c}`") for c in docs.columns)
+    )

@@ -425,9 +425,12 @@ ADDED = ("n_replaced", "kinds")
 BROADCAST_TEXTS = 20_000
 
 
-def replace_entities(docs: DataFrame, key: str) -> DataFrame:
+def replace_entities(
+    docs: DataFrame, key: str, prefix: str = ""
+) -> DataFrame:
     """``docs`` with surrogates in ``text``, the number of entities replaced
-    and their kinds."""
+    and their kinds. ``prefix`` goes in front of the names of these two."""
+    made = [prefix + c for c in ADDED]
     cycle = first_name_cycle(key)
     first = F.create_map(*(F.lit(x) for pair in cycle.items() for x in pair))
     text = F.col("text")
@@ -443,7 +446,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     )
     again = stored(redrawn(stored(units, "units"), key), "redrawn")
 
-    plain = [f"`{c}`" for c in docs.columns if c not in ADDED]
+    plain = [f"`{c}`" for c in docs.columns if c not in made]
     rows = docs.select(*plain)
     redraws = F.create_map().cast("map<string, int>")
     if not again.isEmpty():
@@ -541,8 +544,25 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             else F.col(c)
             for c in plain
         ),
-        F.when(some, F.size(kinds)).otherwise(0).cast("long").alias("n_replaced"),
+        F.when(some, F.size(kinds)).otherwise(0).cast("long").alias(made[0]),
         F.when(some, F.array_sort(F.array_distinct(kinds)))
         .otherwise(F.array().cast("array<string>"))
-        .alias("kinds"),
+        .alias(made[1]),
+    )
+
+
+def without_personal_data(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with surrogates in ``text`` and ``n_chars``, where there is
+    such a column, set to the new length of a changed text."""
+    found = replace_entities(docs, key, prefix="_")
+    return found.select(
+        *(
+            F.when(F.col("_n_replaced") > 0, F.length("text"))
+            .otherwise(F.col("n_chars"))
+            .cast(docs.schema["n_chars"].dataType)
+            .alias("n_chars")
+            if c == "n_chars"
+            else F.col(f"`{c}`")
+            for c in docs.columns
+        )
     )
