@@ -75,9 +75,10 @@ def automaton_of(items: list[tuple[str | None, bytes]], width: int):
 
 def blocks_of(items: list[tuple], limit: int) -> list[list[tuple]]:
     """Items in blocks of at most ``limit`` bytes of text, or of one item."""
-    blocks, size = [], limit
+    blocks: list[list[tuple]] = []
+    size = 0
     for item in items:
-        if size + len(item[1]) > limit:
+        if not blocks or size + len(item[1]) > limit:
             blocks.append([])
             size = 0
         blocks[-1].append(item)

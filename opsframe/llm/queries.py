@@ -10,6 +10,7 @@ from opsframe.llm.common import table
 from opsframe.llm.cotraining import SCORES, score, train
 from opsframe.llm.decontaminate import contamination
 from opsframe.llm.licences import fit, licences
+from opsframe.llm.oracles import ORACLES
 from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
 from opsframe.llm.sharding import shard_rows
@@ -104,29 +105,4 @@ QUERIES = {
     "op10_surrogates": op10_surrogates,
 }
 
-ESCAPED = """replace(replace(replace(replace(replace(replace(
-    coalesce({0}, ''), '\\', '\\\\'), '<|', '<\\|'), '</s>', '<\\/s>'),
-    '<s>', '<\\s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"""
-
-CHAT_SQL = f"""
-WITH rows AS (
-    SELECT conv_id, turn, coalesce(role, '') AS role,
-        coalesce(text, '') AS text FROM conversations
-    UNION ALL
-    SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
-    UNION ALL
-    SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
-)
-SELECT conv_id, count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), ''
-        ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT)
-        AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
-        FILTER (role = 'assistant'), '')) AS loss_sha256,
-    CAST(sum(length('<|turn|>' || {ESCAPED.format("role")} || '<|text|>'
-        || {ESCAPED.format("text")} || '</s>')) AS BIGINT) AS formatted_chars
-FROM rows GROUP BY conv_id
-"""
-
-ORACLES: dict[str, str] = {"op7_chat_tree": CHAT_SQL}
+__all__ = ["ORACLES", "QUERIES"]
