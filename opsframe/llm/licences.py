@@ -139,6 +139,8 @@ UNKNOWN = (
 )
 
 FAMILIES = tuple(TEMPLATES)
+# Variations of the notices of each family in training.
+EXAMPLES = 600
 WINDOW = 48
 STRIDE = 24
 SAMPLE_DOCS = 300
@@ -151,6 +153,7 @@ TO_WORDS = bytes(
     else 0x20
     for i in range(256)
 )
+OTHER = b""  # any word that no notice has
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -175,6 +178,10 @@ def variation(words: list[bytes], rng: random.Random) -> list[bytes]:
     kept = [w for w in words if rng.random() >= loss]
     front = words_of(rng.choice(LEAD_INS).encode())
     behind = words_of(rng.choice(LEAD_INS).encode())
+    if rng.random() < 0.4:  # inside other text
+        room = max(WINDOW - len(kept), 2)
+        front = [OTHER] * rng.randrange(room) + front
+        behind += [OTHER] * max(room - len(front) - rng.randrange(room), 0)
     return front + kept + behind
 
 
@@ -189,7 +196,7 @@ def examples(paragraphs: list[list[bytes]], seed: int = 7) -> list[Example]:
     found = []
     for label, family in enumerate(FAMILIES):
         notices = [words_of(t.encode()) for t in TEMPLATES[family]]
-        for k in range(300):
+        for k in range(EXAMPLES):
             found.append(
                 Example(variation(notices[k % len(notices)], rng), label)
             )
@@ -227,7 +234,7 @@ def features(words: list[bytes], vocabulary: dict, pairs: dict) -> tuple:
         p for p in map(pairs.get, zip(ids, ids[1:])) if p is not None
     ]
     found, counts = np.unique(np.array(slots, np.int64), return_counts=True)
-    return found, np.log1p(counts) / np.sqrt(max(len(words), 1)) * 2.0
+    return found, np.log1p(counts) / max(len(words), 1) ** 0.25 * 2.0
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -244,12 +251,14 @@ def train(paragraphs: list[list[bytes]], steps: int = 200) -> Model:
     for words, label in rows:
         if label != none:
             for w in words:
-                vocabulary.setdefault(w, len(vocabulary))
+                if w != OTHER:
+                    vocabulary.setdefault(w, len(vocabulary))
     for words, label in rows:
         if label != none:
             ids = list(map(vocabulary.get, words))
             for pair in zip(ids, ids[1:]):
-                pairs.setdefault(pair, len(vocabulary) + len(pairs))
+                if None not in pair:
+                    pairs.setdefault(pair, len(vocabulary) + len(pairs))
     size = len(vocabulary) + len(pairs)
     matrix = np.zeros((len(rows), size + 1), np.float32)
     matrix[:, size] = 1
