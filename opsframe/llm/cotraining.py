@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 TEXT_BITS = 15
 META_BITS = 11
-MAX_LABELLED = 4000
-MAX_POOL = 4000
+MAX_LABELLED = 3000
+MAX_POOL = 3000
 MIN_LABELLED = 10
 ROUNDS = 3
 # Pages each view labels for the other in a round, as a share of the pool, and
@@ -131,10 +131,10 @@ class Rows:
     """Sparse rows in one array of slots and one of values."""
 
     def __init__(self, views: list[tuple], bits: int):
-        self.slots = np.concatenate([v[0] for v in views])
-        self.values = np.concatenate([v[1] for v in views]).astype(np.float64)
+        self.slots = np.concatenate([v[0] for v in views]).astype(np.int32)
+        self.values = np.concatenate([v[1] for v in views]).astype(np.float32)
         sizes = [len(v[0]) for v in views]
-        self.row = np.repeat(np.arange(len(views)), sizes)
+        self.row = np.repeat(np.arange(len(views), dtype=np.int32), sizes)
         self.shape = (len(views), 1 << bits)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
@@ -333,7 +333,7 @@ def train(
         .toArrow()
         .sort_by("doc_id")
     )
-    label_of = sample.column("label").to_numpy()
+    label_of = sample.column("label").to_numpy().copy()
     if min((label_of == 0).sum(), (label_of == 1).sum()) < MIN_LABELLED:
         return None
 
@@ -344,12 +344,12 @@ def train(
         ]
         return Rows(list(zip(*pairs)), bits)
 
-    return cotrain(
-        rows_of("ts", "tv", TEXT_BITS),
-        rows_of("ms", "mv", META_BITS),
-        label_of,
-        rounds,
-    )
+    text = rows_of("ts", "tv", TEXT_BITS)
+    meta = rows_of("ms", "mv", META_BITS)
+    # The sample is copied; what held it is free before the fits begin.
+    del sample
+    pa.default_memory_pool().release_unused()
+    return cotrain(text, meta, label_of, rounds)
 
 
 SCORES = ("p_text", "p_meta", "score", "kept")

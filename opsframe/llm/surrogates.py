@@ -129,6 +129,13 @@ def kind_of(entity: Column) -> Column:
 
 # --- surrogates --------------------------------------------------------------
 
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out, and written into the plan, once
+    however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 UNIT = "struct<kind: string, plain: string>"
 
 
@@ -151,16 +158,17 @@ def unit(kind: Column, entity: Column) -> Column:
     return F.struct(kind.alias("kind"), plain_of(kind, entity).alias("plain"))
 
 
+def keyed_digest(key: str, *parts: Column) -> Column:
+    inner = F.sha2(F.concat_ws("\0", F.lit(key), *parts), 256)
+    return F.sha2(F.concat(F.lit(key), inner), 256)
+
+
 class Draw:
-    """Draws for one unit: numbers that follow from the key, the unit and the
-    attempt only."""
+    """Draws for one unit: numbers that follow from the keyed digest of the
+    unit and the attempt only."""
 
-    def __init__(self, key: str, kind: Column, plain: Column, attempt: Column):
-        inner = F.sha2(
-            F.concat_ws("\0", F.lit(key), kind, plain, attempt.cast("string")),
-            256,
-        )
-        self.digest = F.sha2(F.concat(F.lit(key), inner), 256)
+    def __init__(self, digest: Column):
+        self.digest = digest
 
     def below(self, n: int | Column, *which) -> Column:
         at = [x if isinstance(x, Column) else F.lit(x) for x in which]
@@ -211,8 +219,25 @@ def surrogate(
     key: str, kind: Column, entity: Column, attempt: Column
 ) -> Column:
     """The surrogate of an entity that is one unit."""
-    plain = plain_of(kind, entity)
-    draw = Draw(key, kind, plain, attempt)
+    named = F.struct(
+        kind.alias("kind"),
+        entity.alias("entity"),
+        plain_of(kind, entity).alias("plain"),
+    )
+    return let(
+        named,
+        lambda u: let(
+            keyed_digest(key, u["kind"], u["plain"], attempt.cast("string")),
+            lambda digest: _drawn(
+                key, u["kind"], u["entity"], u["plain"], Draw(digest)
+            ),
+        ),
+    )
+
+
+def _drawn(
+    key: str, kind: Column, entity: Column, plain: Column, draw: Draw
+) -> Column:
     no = F.lit(False)
 
     # A domain is drawn by itself, so that colleagues stay colleagues.
@@ -222,11 +247,13 @@ def surrogate(
         F.lit(1),
         F.length(domain) - F.length(F.substring_index(domain, ".", -1)) - 1,
     )
-    at_host = Draw(key, F.lit("domain"), domain, F.lit(0))
     email = F.concat(
         like_chars(draw, F.substring_index(entity, "@", 1), no, "local"),
         F.lit("@"),
-        like_chars(at_host, host, no, "host"),
+        let(
+            keyed_digest(key, F.lit("domain"), domain),
+            lambda digest: like_chars(Draw(digest), host, no, "host"),
+        ),
         F.lit(".example"),
     )
 
@@ -343,29 +370,27 @@ def first_name_cycle(key: str) -> dict[str, str]:
 # --- corpus ------------------------------------------------------------------
 
 
-def _token_kind(token: Column, first: Column) -> Column:
-    """What a word of a name is; null for a title."""
-    return (
-        F.when(token.rlike(rf"^(?:{_TITLE})\.?$"), F.lit(None))
-        .when(F.map_contains_key(first, token), "first")
-        .otherwise("surname")
-    )
+GIVEN = rf"^(?:(?:{_TITLE})\.?|{_FIRST})$"
+
+
+def _surnames(entity: Column) -> Column:
+    """The words of a name that are neither title nor first name."""
+    return F.filter(F.split(entity, " "), lambda t: ~t.rlike(GIVEN))
 
 
-def _units(entity: Column, first: Column) -> Column:
+def _units(entity: Column) -> Column:
     """The units of an entity that are drawn: the surnames of a name, nothing
     of a number that is no card, and else the entity itself."""
-    kind = kind_of(entity)
-    tokens = F.filter(
-        F.split(entity, " "), lambda t: _token_kind(t, first) == "surname"
-    )
-    return (
-        F.when(
+    return let(
+        kind_of(entity),
+        lambda kind: F.when(
             kind == "name",
-            F.transform(tokens, lambda t: unit(F.lit("surname"), t)),
+            F.transform(
+                _surnames(entity), lambda t: unit(F.lit("surname"), t)
+            ),
         )
         .when(kind.isNull(), F.array().cast(f"array<{UNIT}>"))
-        .otherwise(F.array(unit(kind, entity)))
+        .otherwise(F.array(unit(kind, entity))),
     )
 
 
@@ -441,7 +466,7 @@ def replace_entities(
     entities = docs.select(F.explode(found).alias("entity"))
     units = (
         entities.distinct()
-        .select(F.inline(_units(F.col("entity"), first)))
+        .select(F.inline(_units(F.col("entity"))))
         .distinct()
     )
     again = stored(redrawn(stored(units, "units"), key), "redrawn")
@@ -459,7 +484,7 @@ def replace_entities(
             .select(
                 F.sha2(text, 256).alias("_digest"), F.explode(found).alias("e")
             )
-            .select("_digest", F.inline(_units(F.col("e"), first)))
+            .select("_digest", F.inline(_units(F.col("e"))))
             .select("_digest", F.concat_ws("\0", "kind", "plain").alias("_unit"))
             .distinct()
             .join(named, "_unit")
@@ -485,23 +510,32 @@ def replace_entities(
     def drawn(kind: Column, entity: Column) -> Column:
         return surrogate(key, kind, entity, attempt_of(kind, entity))
 
-    def replaced(entity: Column) -> Column:
-        kind = kind_of(entity)
-        tokens = F.transform(
-            F.split(entity, " "),
-            lambda t: F.when(_token_kind(t, first) == "first", first[t])
-            .when(_token_kind(t, first) == "surname", drawn(F.lit("surname"), t))
-            .otherwise(t),
+    def replaced(e: Column) -> Column:
+        # A name word by word, anything else as a whole.
+        named = e["kind"] == "name"
+        words = F.when(named, F.split(e["entity"], " ")).otherwise(
+            F.array(e["entity"])
         )
-        return (
-            F.when(kind.isNull(), entity)
-            .when(kind == "name", F.array_join(tokens, " "))
-            .otherwise(drawn(kind, entity))
+        sort = F.when(named, "surname").otherwise(e["kind"])
+        made = F.transform(
+            words,
+            lambda w: F.coalesce(
+                F.when(named, first[w]),
+                F.when(named & w.rlike(GIVEN) | sort.isNull(), w),
+                drawn(sort, w),
+            ),
         )
+        return F.array_join(made, " ")
 
-    rows = rows.withColumn("_found", found)
+    rows = rows.withColumn(
+        "_found",
+        F.transform(
+            found,
+            lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")),
+        ),
+    )
     some = F.size("_found") > 0
-    kinds = F.filter(F.transform("_found", kind_of), lambda k: k.isNotNull())
+    kinds = F.filter("_found.kind", lambda k: k.isNotNull())
     joined = F.array_join(
         F.zip_with(
             F.split(text, ENTITY, -1),
@@ -514,20 +548,19 @@ def replace_entities(
     surnames = F.array_distinct(
         F.flatten(
             F.transform(
-                F.filter("_found", lambda e: kind_of(e) == "name"),
+                F.filter("_found", lambda e: e["kind"] == "name"),
                 lambda e: F.filter(
-                    F.split(e, " "),
-                    lambda t: (_token_kind(t, first) == "surname")
-                    & (F.length(t) > 2),
+                    _surnames(e["entity"]), lambda t: F.length(t) > 2
                 ),
             )
         )
     )
+    rows = rows.withColumn("_surnames", surnames).withColumn("_made", joined)
     joined = F.when(
-        F.size(surnames) > 0,
+        F.size("_surnames") > 0,
         F.aggregate(
-            surnames,
-            joined,
+            "_surnames",
+            F.col("_made"),
             lambda made, name: F.regexp_replace(
                 made,
                 F.concat(
@@ -536,7 +569,7 @@ def replace_entities(
                 drawn(F.lit("surname"), name),
             ),
         ),
-    ).otherwise(joined)
+    ).otherwise(F.col("_made"))
     return rows.select(
         *(
             F.when(some, joined).otherwise(text).alias("text")
