@@ -4,35 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from opsframe.session import scratch_path
 
 _PART, _POS = "_part", "_pos"
-# The offsets are broadcast up to this many rows of a few bytes each.
-BROADCAST_ROWS = 500_000
 # monotonically_increasing_id() holds the row's position in the low 33 bits.
 _POS_BITS = 33
 
 
-def _tie_breaker(df: DataFrame) -> Column:
-    hashable = [
-        F.col(f"`{f.name}`")
-        for f in df.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    return F.xxhash64(*hashable)
-
-
 def _ranged(df: DataFrame, order: list) -> DataFrame:
     """``df`` range-sorted over its partitions and written to the scratch
     folder with each row's partition number and position.
 
-    Written, not cached: the two passes that follow must see one and the same
-    partitioning even after an executor is lost. Rows tied on ``order`` are
-    spread by a hash of the row, so a frequent value fills no single task.
+    Written, not cached or planned twice: Spark draws the ranges anew for each
+    plan, so the count per range and the rows must come from one run, also
+    after an executor is lost. Rows tied on ``order`` follow each other in
+    input order and are spread by it, so neither a frequent value nor copies
+    of one row fill a task.
     """
-    keys = [*order, _tie_breaker(df)]
+    keys = [*order, F.monotonically_increasing_id()]
     row_id = F.monotonically_increasing_id()
     path = scratch_path(df.sparkSession, "ranged")
     (
@@ -56,8 +46,9 @@ def index_rows(
     """Add each row's 0-based position in the order, over all rows or inside
     every group of ``within``.
 
-    ``order_by`` should be unique (inside a group); ties are ordered by a hash
-    of the row.
+    ``order_by`` should be unique (inside a group); ties keep their input
+    order. Without ``within`` the only window runs over one row per written
+    partition, in one task; inside groups it runs over the pieces of a group.
     """
     order = [order_by] if isinstance(order_by, (str, Column)) else order_by
     groups = list(within or [])
@@ -79,9 +70,8 @@ def index_rows(
             "_shift"
         ),
     )
-    # Usually one row per written partition; with very many groups the join
-    # shuffles instead, by group and partition.
-    if pieces.count() <= BROADCAST_ROWS:
+    if not groups:
+        # One row per written partition, which bounds its size.
         offsets = F.broadcast(offsets)
     matches = [F.col(f"r.{_PART}") == F.col(f"o.{_PART}")] + [
         F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in groups

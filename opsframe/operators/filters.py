@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Mapping
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, time, timedelta, timezone
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -45,17 +46,27 @@ def check_filters(filters: Any) -> None:
             raise ValueError(f"unknown operator {item['operator']!r}")
 
 
+def _type_of(df: DataFrame, name: str) -> T.DataType:
+    return df.select(F.col(name)).schema[0].dataType
+
+
+def _as_time(value: Any) -> Any:
+    """Epoch milliseconds and zoned times as times in UTC; else unchanged."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        value = datetime(1970, 1, 1) + timedelta(milliseconds=float(value))
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return value
+
+
 def _literal(df: DataFrame, name: str, value: Any) -> Column:
     """``value`` as a literal of the column's type.
 
     Numbers against a timestamp column are epoch milliseconds.
     """
-    dtype = df.select(F.col(name)).schema[0].dataType
+    dtype = _type_of(df, name)
     if isinstance(dtype, _TIMESTAMPS):
-        if isinstance(value, (int, float)) and not isinstance(value, bool):
-            value = datetime(1970, 1, 1) + timedelta(milliseconds=value)
-        if isinstance(value, datetime) and value.tzinfo is not None:
-            value = value.astimezone(timezone.utc).replace(tzinfo=None)
+        value = _as_time(value)
         if isinstance(value, (date, datetime)):
             text = value.isoformat(" ") if isinstance(
                 value, datetime
@@ -63,16 +74,38 @@ def _literal(df: DataFrame, name: str, value: Any) -> Column:
             return F.lit(text).cast(dtype)
         return F.lit(value).cast(dtype)
     numeric = isinstance(dtype, T.NumericType)
-    if numeric and isinstance(value, (int, float)):
+    if numeric and isinstance(value, (int, float, Decimal)):
         # Spark widens mixed numbers itself; a cast here could round 1.5 to 1.
         return F.lit(value)
     return F.lit(value).cast(dtype)
 
 
+def _compare(df: DataFrame, name: str, how: str, value: Any) -> Column:
+    """The comparison of a column with a value.
+
+    A date column is compared with the time of day taken into account: dates
+    are midnights, so a time inside a day is after that day's date.
+    """
+    column = F.col(name)
+    if isinstance(_type_of(df, name), T.DateType):
+        value = _as_time(value)
+        if isinstance(value, datetime):
+            day = F.lit(value.date())
+            if value.time() == time():
+                return _OPERATORS[how](column, day)
+            if how in ("LT", "LTE"):
+                return column <= day
+            if how in ("GT", "GTE"):
+                return column > day
+            # No date is equal to it; a NULL still compares as NULL.
+            return (column < day) & (column > day) if how == "EQ" else (
+                (column == day) | (column != day)
+            )
+    return _OPERATORS[how](column, _literal(df, name, value))
+
+
 def _condition(df: DataFrame, item: Mapping[str, Any]) -> Column:
-    name = item["propertyName"]
-    compare = _OPERATORS[item["operator"]]
-    return compare(F.col(name), _literal(df, name, item["value"]))
+    return _compare(df, item["propertyName"], item["operator"], item["value"])
 
 
 def filter_groups(df: DataFrame, groups: list) -> DataFrame:
@@ -100,7 +133,7 @@ def since(
     df: DataFrame, column: str, after: datetime | date | int
 ) -> DataFrame:
     """Rows at or after a cutoff, given as a time or as epoch milliseconds."""
-    return df.filter(F.col(column) >= _literal(df, column, after))
+    return df.filter(_compare(df, column, "GTE", after))
 
 
 def incremental_pull(
@@ -109,16 +142,27 @@ def incremental_pull(
     after: datetime | date | int,
     key: str,
     seen: DataFrame | None = None,
+    latest: bool = False,
 ) -> DataFrame:
     """``since`` without the rows pulled before.
 
     The cutoff is inclusive, so the rows on it come back with every pull;
-    ``seen`` holds the keys already taken.
+    ``seen`` holds the key and time of the rows already taken. A row that was
+    taken and has changed since has a later time and comes back. ``latest``
+    keeps only the last row of each key.
     """
     fresh = since(df, column, after)
-    if seen is None:
-        return fresh
-    return fresh.join(seen.select(key), key, "left_anti")
+    if seen is not None:
+        if column not in seen.columns:
+            raise ValueError(f"seen must have the columns {key} and {column}")
+        taken = [key, column]
+        fresh = fresh.join(seen.select(*taken), taken, "left_anti")
+    if latest:
+        row = F.struct(*[f"`{c}`" for c in df.columns])
+        fresh = fresh.groupBy(F.col(key).alias("_key")).agg(
+            F.max_by(row, F.col(column)).alias("_row")
+        ).select("_row.*")
+    return fresh
 
 
 def date_range(
@@ -133,17 +177,17 @@ def date_range(
 
 
 def optional_filters(df: DataFrame, **wanted: Any) -> DataFrame:
-    """Equality filters; an argument that is None or empty adds none.
+    """Equality filters; an argument that is None or empty text adds none.
 
     A date against a timestamp column selects that whole day.
     """
     for name, value in wanted.items():
-        if not value:
+        if value is None or isinstance(value, str) and not value:
             continue
         dtype = df.schema[name].dataType
         whole_day = isinstance(value, date) and not isinstance(value, datetime)
         if isinstance(dtype, _TIMESTAMPS) and whole_day:
             df = date_range(df, name, value, value)
         else:
-            df = df.filter(F.col(name) == _literal(df, name, value))
+            df = df.filter(_compare(df, name, "EQ", value))
     return df

@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsframe.functions.lists import explode_once
 from opsframe.operators.columns import select_properties
 
-# Longest key list that becomes an IN filter, which the file scan can use.
-IN_LIST_LIMIT = 1000
+# The property of an update that names a contact and changes nothing else.
+NO_PROPERTY = ""
 
 EDGE_COLUMNS = [
     "object_type",
@@ -43,35 +42,43 @@ def _distinct(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns, _hashed(columns)).distinct().drop("_hash")
 
 
+def _typed(target: DataFrame, keys: Iterable, key: str) -> list[Column]:
+    """Listed keys as literals of the target's key type; NULL asks for none.
+
+    The one place where listed keys are converted: ``"1"`` finds a BIGINT 1,
+    and what is no number fails, however many keys there are.
+    """
+    dtype = target.schema[key].dataType
+    return [F.lit(k).cast(dtype) for k in keys if k is not None]
+
+
 def _key_table(target: DataFrame, keys, key: str) -> DataFrame:
     """Distinct non-NULL keys, typed like the target's key column."""
     if isinstance(keys, DataFrame):
         table = keys.select(F.col(key))
     else:
-        schema = T.StructType([target.schema[key]])
-        table = target.sparkSession.createDataFrame(
-            [(k,) for k in keys], schema
+        listed = F.array(*_typed(target, keys, key)).cast(
+            T.ArrayType(target.schema[key].dataType)
+        )
+        table = target.sparkSession.range(1).select(
+            F.explode(listed).alias(key)
         )
     return _distinct(table.filter(F.col(key).isNotNull()), [key])
 
 
-def _short_list(keys) -> list | None:
-    if isinstance(keys, DataFrame):
-        return None
-    keys = list(keys)
-    return keys if len(keys) <= IN_LIST_LIMIT else None
-
-
 def lookup_batch(
     target: DataFrame,
     keys: DataFrame | Iterable,
     key: str,
     properties: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of ``target`` whose key is asked for, with the chosen columns."""
-    short = _short_list(keys)
-    if short is not None:
-        found = target.filter(F.col(key).isin(short))
+    """Rows of ``target`` whose key is asked for, with the chosen columns.
+
+    Keys in a list become an IN filter, which the file scan can use; keys in
+    a DataFrame a semi join, which is the form for many of them.
+    """
+    if not isinstance(keys, DataFrame):
+        found = target.filter(F.col(key).isin(_typed(target, keys, key)))
     else:
         found = target.join(_key_table(target, keys, key), key, "left_semi")
     return select_properties(found, properties, always=[key])
@@ -104,11 +111,23 @@ def _required_key(key: str) -> Column:
 
 
 def property_updates(
-    contacts: DataFrame, key: str, seq: str, properties: str = "properties"
+    contacts: DataFrame, key: str | list[str], seq: str, properties: str = "properties"
 ) -> DataFrame:
-    """Contact updates -> rows ``(key, seq, pos, property, value)``."""
-    items = explode_once(contacts, properties, "_item", [key, seq], "pos")
-    return items.select(key, seq, "pos", "_item.property", "_item.value")
+    """Contact updates -> rows ``(key, seq, pos, property, value)``.
+
+    A contact without properties gives one row that names it, with
+    ``NO_PROPERTY``. ``key`` may be several columns, such as id and email.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    items = contacts.select(
+        *keys, seq, F.posexplode_outer(properties).alias("pos", "_item")
+    )
+    named = F.when(F.col("pos").isNull(), F.lit(NO_PROPERTY)).otherwise(
+        F.col("_item.property")
+    )
+    return items.select(
+        *keys, seq, "pos", named.alias("property"), "_item.value"
+    )
 
 
 def upsert(
@@ -117,19 +136,45 @@ def upsert(
     key: str,
     seq: str | list[str],
     properties: list[str] | None = None,
+    other_key: str | None = None,
 ) -> DataFrame:
     """Insert or update by key, changing only the properties that are named.
 
     ``updates`` has the columns ``key, property, value`` and those of ``seq``;
     for each key and property the record with the largest ``seq`` wins, an
-    explicit NULL included. ``seq`` must order the records of a key.
+    explicit NULL included. ``seq`` must order the records of a key. The
+    property ``NO_PROPERTY`` names the contact alone, which inserts it when it
+    is new; a NULL property fails the query.
+
+    With ``other_key`` an update whose key is NULL is for the row of that other
+    key, which ``updates`` then has as a column: the lowest key that has it, or
+    a new row without a key. An update without either fails the query.
     """
+    if other_key is not None:
+        return _upsert_by_either(
+            target, updates, key, seq, properties, other_key
+        )
+    named = updates.withColumn(key, _required_key(key))
+    return _upsert_named(target, named, key, seq, properties)
+
+
+def _upsert_named(
+    target: DataFrame,
+    updates: DataFrame,
+    key: str,
+    seq: str | list[str],
+    properties: list[str] | None,
+) -> DataFrame:
+    """``upsert`` of updates whose key is known to be set."""
     others = [c for c in target.columns if c != key]
     props = others if properties is None else list(properties)
     order = F.struct(*([seq] if isinstance(seq, str) else seq))
 
+    allowed = F.col("property").isin([*props, NO_PROPERTY])
     unknown = F.max(
-        F.when(~F.col("property").isin(props), F.col("property"))
+        F.when(F.col("property").isNull(), F.lit("NULL")).when(
+            ~allowed, F.col("property")
+        )
     )
     # The struct is NULL when a property is not named, and its field is NULL
     # when the property is set to NULL.
@@ -141,8 +186,7 @@ def upsert(
         for p in props
     ]
     collapsed = (
-        updates.withColumn(key, _required_key(key))
-        .groupBy(key, _hashed([key]))
+        updates.groupBy(key, _hashed([key]))
         .agg(*latest, unknown.alias("_unknown"))
         .filter(
             F.when(F.col("_unknown").isNull(), F.lit(True)).otherwise(
@@ -180,13 +224,59 @@ def upsert(
     kept = target.join(collapsed, key, "left").select(
         *[F.col(c) if c == key else merged(c) for c in target.columns]
     )
-    held = _held_keys(target, collapsed, key)
+    # The keys alone: a hash aggregate without the property columns.
+    named = _distinct(updates.filter(F.col(key).isNotNull()), [key])
+    held = _held_keys(target, named, key)
     added = collapsed.join(held, key, "left_anti").select(
         *[inserted(c) for c in target.columns]
     )
     return kept.unionByName(added)
 
 
+def _upsert_by_either(
+    target: DataFrame,
+    updates: DataFrame,
+    key: str,
+    seq: str | list[str],
+    properties: list[str] | None,
+    other: str,
+) -> DataFrame:
+    """``upsert`` of updates that name a row by ``key`` or else by ``other``."""
+    order = [seq] if isinstance(seq, str) else list(seq)
+    fields = [*order, "property", "value"]
+    by_other = F.col(key).isNull()
+    wanted = _distinct(
+        updates.filter(by_other & F.col(other).isNotNull()), [other]
+    )
+    known = (
+        target.filter(F.col(key).isNotNull())
+        .join(wanted, other, "left_semi")
+        .groupBy(other)
+        .agg(F.min(key).alias("_known"))
+    )
+    located = updates.join(
+        known.withColumnRenamed(other, "_other"),
+        by_other & (F.col(other) == F.col("_other")),
+        "left",
+    ).withColumn(key, F.coalesce(key, "_known"))
+    nameless = F.raise_error(F.lit(f"update without {key} and {other}"))
+    located = located.filter(
+        F.when(F.coalesce(F.col(key).cast("string"), other).isNotNull(), True)
+        .otherwise(nameless.cast("boolean"))
+    )
+    keyed = located.filter(F.col(key).isNotNull()).select(key, *fields)
+    fresh = located.filter(by_other).select(other, *fields)
+    props = [c for c in target.columns if c not in (key, other)]
+    props = props if properties is None else list(properties)
+    # Rows of new contacts: an upsert into an empty table, by the other key.
+    empty = target.drop(key).filter(F.lit(False))
+    made = _upsert_named(
+        empty, fresh, other, seq, [p for p in props if p != other]
+    ).withColumn(key, F.lit(None).cast(target.schema[key].dataType))
+    merged = _upsert_named(target, keyed, key, seq, properties)
+    return merged.unionByName(made.select(target.columns))
+
+
 def _one_per_key(
     updates: DataFrame, key: str, seq: str | None
 ) -> DataFrame:
@@ -298,10 +388,10 @@ def masked_update(
 def delete_keys(
     target: DataFrame, keys: DataFrame | Iterable, key: str
 ) -> tuple[DataFrame, DataFrame]:
-    """``(remaining rows, removed keys)``."""
-    short = _short_list(keys)
-    if short is not None:
-        gone = F.col(key).isin(short)
+    """``(remaining rows, removed keys)``; keys in a list become a filter, keys
+    in a DataFrame a join."""
+    if not isinstance(keys, DataFrame):
+        gone = F.col(key).isin(_typed(target, keys, key))
         remaining = target.filter(~F.coalesce(gone, F.lit(False)))
         removed = target.filter(gone).select(key).distinct()
         return remaining, removed
@@ -329,13 +419,11 @@ def add_members(
     """
     if _absent(emails) and _absent(vids):
         raise ValueError("emails or vids are required")
-    spark = members.sparkSession
     dtype = members.schema["vid"].dataType
     added = []
     if not _absent(vids):
         if not isinstance(vids, DataFrame):
-            schema = T.StructType([T.StructField("vid", dtype)])
-            vids = spark.createDataFrame([(v,) for v in vids], schema)
+            vids = _key_table(members, vids, "vid")
         added.append(vids.select(F.col("vid").cast(dtype).alias("vid")))
     if not _absent(emails):
         if contacts is None:

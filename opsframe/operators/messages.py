@@ -146,7 +146,7 @@ def sparse_record(
     """Add ``record``, the JSON of an update without its unset fields.
 
     ``drop`` leaves out ``falsy`` values (NULL, false, 0, empty) or only
-    ``null``. An update that holds nothing but its key fails the query, or
+    ``null``; the key stays whatever its value. An update that holds nothing but its key fails the query, or
     with ``mode="split"`` comes back in a second frame:
     ``(records, rejected rows)``.
     """
@@ -155,9 +155,10 @@ def sparse_record(
     if mode not in ("raise", "split"):
         raise ValueError("mode must be raise or split")
     others = [c for c in (fields or df.columns) if c != key]
-    kept = {
+    # The key says which record is meant and stays, even when it is 0.
+    kept = {key: F.col(key)} | {
         name: _kept(F.col(name), df.schema[name].dataType, drop)
-        for name in [key, *others]
+        for name in others
     }
     named = F.struct(*[c.alias(rename(n)) for n, c in kept.items()])
     record = F.to_json(named, TIME_FORMATS)

@@ -153,7 +153,11 @@ def _incremental_pull(spark, sf_dir):
         orders, "o_orderdate", date(1998, 1, 1), date(1998, 1, 1)
     ).filter(F.col("o_orderstatus") == "F")
     return incremental_pull(
-        orders, "o_orderdate", date(1998, 1, 1), "o_orderkey", seen
+        orders,
+        "o_orderdate",
+        date(1998, 1, 1),
+        "o_orderkey",
+        seen.select("o_orderkey", "o_orderdate"),
     ).select("o_orderkey", "o_orderdate")
 
 
@@ -202,19 +206,16 @@ def _optional_filters(spark, sf_dir):
                 THEN ',"CMktsegment":"' || c_mktsegment || '"' ELSE '' END ||
            '}' AS record
     FROM customer
-    WHERE c_custkey <> 0
-      AND (c_nationkey <> 0 OR c_acctbal > 0 OR c_mktsegment <> 'BUILDING')
+    WHERE (c_nationkey <> 0 OR c_acctbal > 0 OR c_mktsegment <> 'BUILDING')
     UNION ALL
     SELECT c_custkey, NULL FROM customer
-    WHERE c_custkey <> 0
-      AND NOT (c_nationkey <> 0 OR c_acctbal > 0
+    WHERE NOT (c_nationkey <> 0 OR c_acctbal > 0
                OR c_mktsegment <> 'BUILDING')
     """,
 )
 def _sparse_record(spark, sf_dir):
     updates = (
         table(spark, sf_dir, "customer")
-        .filter(F.col("c_custkey") != 0)
         .select(
             "c_custkey",
             "c_nationkey",

@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.session import configure, spread_scan
+from opsframe.session import configure
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,6 @@ def table(
     name: str,
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """A table, or its named columns spread over all cores for heavy work."""
+    """A table, or its named columns."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df if columns is None else spread_scan(df.select(*columns))
+    return df if columns is None else df.select(*columns)

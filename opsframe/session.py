@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Epoch functions read zone-less timestamps as UTC; JSON objects with a
 # repeated key keep the last value instead of being rejected; a hot join key is
@@ -17,13 +17,16 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-SPLIT_PARTS = 8
-
 _local_root: str | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+    """Apply the runtime settings to an existing session and return it.
+
+    They hold for the whole session. Splitting a hot join key even where that
+    costs another shuffle (``forceOptimizeSkewedJoin``) is worth it for keyed
+    writes on skewed keys; a session without those may turn it off again.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -48,21 +51,6 @@ def get_spark(
     return configure(builder.getOrCreate())
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """A file scan with work for every core.
-
-    A small file of one row group is one split, which leaves heavy work on its
-    rows to a single core. A scan that has a split per core is returned as it
-    is, so large inputs are never shuffled by this; otherwise each split is
-    cut into at most ``SPLIT_PARTS``.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits >= cores:
-        return df
-    return df.repartition(min(cores, splits * SPLIT_PARTS))
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from opsframe.operators import batch_ids, index_rows
+from opsframe.operators import batch_ids, batching, index_rows
 
 
 def test_index_over_all_rows(spark):
@@ -49,16 +49,36 @@ def test_index_is_the_same_each_time_it_is_read(spark):
     assert sorted(indexed.collect()) == sorted(indexed.collect())
 
 
-def test_many_groups_are_joined_without_a_hint(spark, monkeypatch):
-    from opsframe.operators import batching
-
-    monkeypatch.setattr(batching, "BROADCAST_ROWS", 0)
+def test_groups_are_joined_without_a_hint(spark):
     df = spark.range(300).select((F.col("id") % 7).alias("g"), "id")
     got = index_rows(df, "id", within=["g"])
     assert "broadcast" not in got._jdf.queryExecution().analyzed().toString()
     assert all(r.row_idx == r.id // 7 for r in got.collect())
 
 
+def test_copies_of_few_rows_are_spread(spark):
+    """Rows that are alike in all columns still fill partitions evenly."""
+    df = spark.range(0, 60_000, 1, 6).select((F.col("id") % 3).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = batching._ranged(df, [F.col("v")])
+        sizes = [r["count"] for r in ranged.groupBy("_part").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and max(sizes) < 25_000
+    got = index_rows(df, "v").collect()
+    assert sorted(r.row_idx for r in got) == list(range(60_000))
+    assert all(r.v == r.row_idx // 20_000 for r in got)
+
+
+def test_rows_with_maps(spark):
+    df = spark.sql(
+        "SELECT id, array(map('k', id)) AS held, named_struct('m', map(1, id)) AS s"
+        " FROM range(50)"
+    )
+    assert all(r.row_idx == r.id for r in index_rows(df, "id").collect())
+
+
 def test_no_window_over_the_rows(spark, plan_of):
     plan = plan_of(index_rows(spark.range(1000), "id"))
     window = plan[: plan.index("Window")]

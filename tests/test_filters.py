@@ -1,4 +1,5 @@
 from datetime import date, datetime, timezone
+from decimal import Decimal
 
 import pytest
 
@@ -80,6 +81,42 @@ def test_fraction_against_an_integer_column(calls):
     assert ids(filter_groups(calls, [item("id", "GT", 1.5)])) == [2, 3, 4]
 
 
+def test_decimals_are_not_rounded(calls):
+    half = Decimal("1.5")
+    assert ids(filter_groups(calls, [item("id", "EQ", half)])) == []
+    assert ids(filter_groups(calls, [item("id", "LT", half)])) == [1]
+    assert ids(filter_groups(calls, [item("size", "EQ", half)])) == [1]
+
+
+NOON = datetime(2024, 1, 2, 12)
+MIDNIGHT_MS = 1704153600000  # of 2024-01-02
+
+
+@pytest.mark.parametrize(
+    "operator, value, expected",
+    [
+        ("EQ", NOON, []),
+        ("NEQ", NOON, [1, 2, 3]),
+        ("LT", NOON, [1, 2]),
+        ("LTE", NOON, [1, 2]),
+        ("GT", NOON, [3]),
+        ("GTE", NOON, [3]),
+        ("EQ", MIDNIGHT_MS, [2]),
+        ("LT", MIDNIGHT_MS, [1]),
+        ("GTE", MIDNIGHT_MS, [2, 3]),
+        ("GTE", MIDNIGHT_MS + 1, [3]),
+        ("EQ", date(2024, 1, 2), [2]),
+        ("GT", "2024-01-02", [3]),
+    ],
+)
+def test_times_against_a_date_column(spark, operator, value, expected):
+    rows = [(k, date(2024, 1, k)) for k in (1, 2, 3)] + [(4, None)]
+    df = spark.createDataFrame(rows, "id int, day date")
+    assert ids(filter_groups(df, [item("day", operator, value)])) == expected
+    if operator == "GTE":
+        assert ids(since(df, "day", value)) == expected
+
+
 def test_cutoff_is_inclusive_in_all_forms(calls):
     for after in (
         datetime(2024, 1, 2),
@@ -96,13 +133,31 @@ def test_date_range_includes_the_whole_last_day(calls):
 
 
 def test_incremental_pull_leaves_out_seen_rows(spark, calls):
-    seen = spark.createDataFrame([(1,), (9,)], "id int")
+    seen = spark.createDataFrame(
+        [
+            (1, datetime(2024, 1, 1)),
+            (3, datetime(2024, 1, 1)),  # changed since
+            (9, datetime(2024, 1, 1)),
+        ],
+        "id int, at timestamp_ntz",
+    )
     pulled = incremental_pull(calls, "at", date(2024, 1, 1), "id", seen)
     assert ids(pulled) == [2, 3]
+    with pytest.raises(ValueError, match="seen must have"):
+        incremental_pull(calls, "at", date(2024, 1, 1), "id", seen.drop("at"))
+
+
+def test_incremental_pull_of_the_latest_rows(spark):
+    rows = [(1, "old", datetime(2024, 1, 2)), (1, "new", datetime(2024, 1, 3))]
+    df = spark.createDataFrame(rows, "id int, v string, at timestamp_ntz")
+    got = incremental_pull(df, "at", date(2024, 1, 1), "id", latest=True)
+    assert [tuple(r) for r in got.collect()] == [rows[1]]
 
 
 def test_unset_filters_are_left_out(calls):
-    assert ids(optional_filters(calls, kind="a", size=None, id=0)) == [1, 3]
+    assert ids(optional_filters(calls, kind="a", size=None)) == [1, 3]
+    assert ids(optional_filters(calls, kind="", id=3)) == [3]
+    assert ids(optional_filters(calls, id=0)) == []
     assert ids(optional_filters(calls, at=date(2024, 1, 1))) == [1, 2]
     assert ids(optional_filters(calls)) == [1, 2, 3, 4]
 

@@ -38,8 +38,28 @@ def test_lookup_by_list_and_by_table(spark, contacts):
     assert rows(unmatched_keys(contacts, [3, 8], "vid")) == [(8,)]
 
 
-def test_long_key_lists_become_a_join(contacts, plan_of):
-    query = lookup_batch(contacts, range(5000), "vid")
+@pytest.mark.parametrize("n", [3, 1000, 1001, 1500])
+def test_listed_keys_mean_the_same_however_many(spark, contacts, n):
+    texts = [str(k) for k in range(1, n + 1)]
+    found = [(1, "Ann"), (2, "Bob"), (3, "Cy")]
+    assert rows(lookup_batch(contacts, texts, "vid", ["name"])) == found
+    remaining, removed = delete_keys(contacts, [*texts[1:], None], "vid")
+    assert [r.vid for r in remaining.collect()] == [1]
+    assert rows(removed) == [(2,), (3,)]
+    assert len(rows(unmatched_keys(contacts, texts, "vid"))) == n - 3
+    members = spark.createDataFrame([(9, 1)], "list_id int, vid long")
+    listed = rows(add_members(members, 9, vids=texts))
+    assert listed == sorted([(9, k) for k in range(1, n + 1)], key=str)
+    mails = [f"{k}@x" for k in range(n - 1)] + ["b@x"]
+    by_mail = add_members(members, 9, contacts, emails=mails)
+    assert rows(by_mail) == [(9, 1), (9, 2)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        lookup_batch(contacts, [*texts, "x"], "vid").collect()
+
+
+def test_keys_in_a_table_become_a_join(spark, contacts, plan_of):
+    keys = spark.range(5000).withColumnRenamed("id", "vid")
+    query = lookup_batch(contacts, keys, "vid")
     assert rows(query) == rows(contacts)
     assert "LeftSemi" in plan_of(query)
 
@@ -101,6 +121,64 @@ def test_upsert_refuses_what_it_cannot_place(spark, contacts):
         ).collect()
 
 
+def test_contacts_without_properties_are_inserted(spark):
+    target = spark.createDataFrame([("a", "n")], "vid string, name string")
+    contacts = spark.sql(
+        """
+        SELECT * FROM VALUES
+          ('k', 1, array()), ('a', 2, array()),
+          ('b', 3, array(named_struct('property', 'name', 'value', 'B'))),
+          ('b', 4, array())
+        AS t(vid, seq, properties)
+        """
+    )
+    changes = property_updates(contacts, "vid", "seq")
+    assert rows(upsert(target, changes, "vid", ["seq", "pos"])) == [
+        ("a", "n"),
+        ("b", "B"),
+        ("k", None),
+    ]
+
+
+def test_upsert_refuses_a_null_property(spark, contacts):
+    with pytest.raises(Exception, match="unknown property: NULL"):
+        upsert(
+            contacts, updates(spark, [(1, 1, None, "x")]), "vid", "seq"
+        ).collect()
+
+
+def test_upsert_by_vid_or_else_by_email(spark, contacts):
+    changes = spark.createDataFrame(
+        [
+            (1, "ignored@x", 1, "name", "Anna"),
+            (None, "b@x", 1, "name", "Bobby"),
+            (2, None, 2, "age", "20"),
+            (None, "new@x", 1, "name", "New"),
+            (None, "new@x", 2, "name", "Newer"),
+            (None, "bare@x", 1, "", None),
+            (9, None, 1, "", None),
+        ],
+        "vid long, email string, seq int, property string, value string",
+    )
+    got = upsert(contacts, changes, "vid", "seq", other_key="email")
+    assert rows(got) == sorted(
+        [
+            (1, "a@x", "Anna", 10),
+            (2, "b@x", "Bobby", 20),
+            (3, None, "Cy", 30),
+            (9, None, None, None),
+            (None, "new@x", "Newer", None),
+            (None, "bare@x", None, None),
+        ],
+        key=str,
+    )
+    nobody = spark.createDataFrame(
+        [(None, None, 1, "name", "x")], changes.schema
+    )
+    with pytest.raises(Exception, match="update without vid and email"):
+        upsert(contacts, nobody, "vid", "seq", other_key="email").collect()
+
+
 def test_upsert_agrees_with_row_by_row(spark):
     import random
 
