@@ -22,9 +22,15 @@ def strip(text: Column | str) -> Column:
 
 
 def form_field(name: str) -> str:
-    """``friendly_name`` -> ``FriendlyName``."""
-    words = name.replace("_", " ").title()
-    return "".join(words.split(" "))
+    """``friendly_name`` -> ``FriendlyName``: every part of the name begins
+    with a capital and goes on in small letters; underscores and spaces
+    between parts go. A part ends at any character that is no letter."""
+    field, inside = [], False
+    for sign in name:
+        if sign not in "_ ":
+            field.append(sign.lower() if inside else sign.upper())
+        inside = sign.isalpha()
+    return "".join(field)
 
 
 def form_quote(text: Column | str) -> Column:

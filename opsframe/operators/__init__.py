@@ -38,6 +38,7 @@ from opsframe.operators.survey import (
     answers_wide,
     column_names,
     question_ids,
+    survey_answers,
     survey_questions,
     survey_responses,
     survey_responses_titled,
@@ -92,6 +93,7 @@ __all__ = [
     "select_properties",
     "since",
     "sparse_record",
+    "survey_answers",
     "survey_questions",
     "survey_responses",
     "survey_responses_titled",

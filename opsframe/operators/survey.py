@@ -20,9 +20,6 @@ from opsframe.functions.text import strip
 NO_SUB_QUESTION = "none"
 RESPONSE_COLUMNS = ["responseId", "createTime", "LastSubmittedTime", "answer"]
 
-# A table cannot usefully be wider; more questions than this are an error.
-MAX_QUESTIONS = 10_000
-
 QUESTION_ITEMS = T.ArrayType(
     T.StructType()
     .add("title", "string")
@@ -133,48 +130,61 @@ def _first_text(answer: Column, dtype: T.StructType) -> Column:
     return F.get(F.filter(firsts, lambda v: v.isNotNull()), F.lit(0))
 
 
-def _bounded(values: DataFrame) -> list:
-    rows = values.take(MAX_QUESTIONS + 1)
-    if len(rows) > MAX_QUESTIONS:
-        raise ValueError(f"more than {MAX_QUESTIONS} questions")
-    return rows
+def _given(responses: DataFrame, answers: str) -> Column:
+    """``array<struct<id, text>>`` of the questions a response answers.
+
+    Map keys must be unique, the ids inside the values need not be: the first
+    answer to a question counts.
+    """
+    dtype = responses.schema[answers].dataType.valueType
+    pairs = F.transform(
+        F.map_values(answers),
+        lambda a: F.struct(
+            a.getField("questionId").alias("id"),
+            _first_text(a, dtype).alias("text"),
+        ),
+    )
+    return F.filter(pairs, lambda p: p.getField("text").isNotNull())
 
 
-def question_ids(responses: DataFrame, answers: str = "answers") -> list[str]:
-    """The distinct question ids answered, from one pass over the responses."""
+def question_ids(responses: DataFrame, answers: str = "answers") -> DataFrame:
+    """The distinct ids of the questions answered, as a table ``id``."""
     found = explode_once(responses, F.map_values(answers), "_answer").select(
         F.col("_answer.questionId").alias("id")
     )
-    distinct = found.filter(F.col("id").isNotNull()).distinct()
-    return sorted(row.id for row in _bounded(distinct))
+    return found.filter(F.col("id").isNotNull()).distinct()
+
+
+def survey_answers(responses: DataFrame, answers: str = "answers") -> DataFrame:
+    """The long form: one row ``(responseId, question_id, value)`` per question
+    answered. It holds any number of questions, which a table with a column
+    for each cannot."""
+    given = explode_once(
+        responses, _given(responses, answers), "_given", ["responseId"], "_pos"
+    )
+    return (
+        given.select(
+            "responseId", "_pos", F.col("_given.id").alias("question_id"),
+            F.col("_given.text").alias("value"),
+        )
+        .groupBy("responseId", "question_id")
+        .agg(F.min_by("value", "_pos").alias("value"))
+    )
 
 
 def survey_responses_wide(
-    responses: DataFrame,
-    ids: list[str] | None = None,
-    answers: str = "answers",
+    responses: DataFrame, ids: list[str], answers: str = "answers"
 ) -> DataFrame:
-    """One row per response with one column per question id.
+    """One row per response with one column for each question of ``ids``.
 
     The column holds the first text answer; ``answer`` keeps all answers as
-    JSON. Without ``ids`` an extra pass finds them.
+    JSON. Ids that are not known beforehand can be taken from
+    ``question_ids``; ``survey_answers`` needs none.
     """
-    ids = question_ids(responses, answers) if ids is None else list(ids)
-    if len(ids) > MAX_QUESTIONS:
-        raise ValueError(f"more than {MAX_QUESTIONS} questions")
-    dtype = responses.schema[answers].dataType.valueType
-    # Map keys must be unique, the ids inside the values need not be: the
-    # first answer to a question counts.
-    pairs = F.transform(
-        F.map_values(answers),
-        lambda a: F.struct(
-            a.getField("questionId").alias("id"),
-            _first_text(a, dtype).alias("text"),
-        ),
+    names = F.transform(_given(responses, answers), lambda p: p.getField("id"))
+    texts = F.transform(
+        _given(responses, answers), lambda p: p.getField("text")
     )
-    given = F.filter(pairs, lambda p: p.getField("text").isNotNull())
-    names = F.transform(given, lambda p: p.getField("id"))
-    texts = F.transform(given, lambda p: p.getField("text"))
     prepared = responses.select(
         F.col("responseId"),
         F.col("createTime"),
@@ -194,12 +204,12 @@ def survey_responses_wide(
 
 def column_names(questions: DataFrame) -> dict[str, str]:
     """Question id -> ``title`` or ``title-sub``; a name that occurs twice
-    gets the id as suffix."""
+    gets the id as suffix. These become columns, so they come to the driver."""
     name = F.when(
         F.col("sub_question") == NO_SUB_QUESTION, F.col("question_title")
     ).otherwise(F.concat_ws("-", "question_title", "sub_question"))
-    rows = _bounded(
-        questions.select("question_id", name.alias("name")).distinct()
+    rows = (
+        questions.select("question_id", name.alias("name")).distinct().collect()
     )
     names: dict[str, str] = {}
     for row in sorted(rows, key=lambda r: (r.question_id, r.name)):
@@ -214,12 +224,23 @@ def column_names(questions: DataFrame) -> dict[str, str]:
 
 
 def survey_responses_titled(
-    responses: DataFrame, questions: DataFrame, answers: str = "answers"
+    responses: DataFrame,
+    questions: DataFrame,
+    answers: str = "answers",
+    ids: list[str] | None = None,
 ) -> DataFrame:
-    """``survey_responses_wide`` with columns named after the questions."""
+    """``survey_responses_wide`` with columns named after the questions.
+
+    A question that is no longer in the form keeps its id as name. Without
+    ``ids`` one pass over the responses finds those that were answered; they
+    become columns and therefore come to the driver.
+    """
     names = column_names(questions)
-    wide = survey_responses_wide(responses, list(names), answers)
-    return wide.toDF(*RESPONSE_COLUMNS, *names.values())
+    if ids is None:
+        ids = sorted(row.id for row in question_ids(responses, answers).collect())
+    listed = [*names, *[q for q in ids if q not in names]]
+    wide = survey_responses_wide(responses, listed, answers)
+    return wide.toDF(*RESPONSE_COLUMNS, *[names.get(q, q) for q in listed])
 
 
 def answers_wide(
@@ -228,18 +249,14 @@ def answers_wide(
     question: str,
     value: str,
     ordinal: str,
-    ids: list[str] | None = None,
+    ids: list[str],
 ) -> DataFrame:
-    """Answers held one per row -> one row per response, first answer each.
+    """Answers held one per row -> one row per response with a column for each
+    question of ``ids``, the first answer each.
 
     The aggregate is partial, so a response with very many answers is reduced
     before the shuffle.
     """
-    if ids is None:
-        listed = answers.select(F.col(question).alias("id")).distinct()
-        ids = sorted(
-            row.id for row in _bounded(listed.filter(F.col("id").isNotNull()))
-        )
     firsts = [
         F.min_by(
             F.when(F.col(question) == q, F.col(value)),

@@ -15,6 +15,7 @@ from opsframe.sources import (
     grid_range_frame,
     list_files,
     missing_pages,
+    next_token,
     read_files_binary,
     read_json_document,
     read_json_lines,
@@ -109,9 +110,10 @@ def _read_json_document(spark, sf_dir):
         )
     )
     path = scratch_path(spark, "documents")
-    documents.write.partitionBy("document").option(
-        "compression", "gzip"
-    ).text(path)
+    # One document per file, all in one folder.
+    documents.repartition("document").select("value").write.option(
+        "maxRecordsPerFile", 1
+    ).option("compression", "gzip").text(path)
     return read_json_document(spark, path, customer.schema).select(
         *customer.columns
     )
@@ -124,7 +126,7 @@ def _read_json_document(spark, sf_dir):
              WHEN 'signup' THEN 'installs_report'
              WHEN 'purchase' THEN 'in_app_events_retarget'
              ELSE 'in_app_events_report' END AS report_type,
-           'app' || CAST(user_id % 7 AS VARCHAR) AS app_id,
+           lpad(CAST(user_id % 7 AS VARCHAR), 3, '0') AS app_id,
            event_id, ts AS event_time, event_type AS event_name,
            user_id AS customer_user_id,
            value AS event_value
@@ -133,6 +135,7 @@ def _read_json_document(spark, sf_dir):
     """,
 )
 def _read_report_csv(spark, sf_dir):
+    """Types with one header, read by a given schema."""
     events = table(spark, sf_dir, "events")
     installs, in_app, retarget = REPORT_TYPES
     reports = events.select(
@@ -141,7 +144,7 @@ def _read_report_csv(spark, sf_dir):
         F.col("event_type").alias("Event Name"),
         F.col("user_id").alias("Customer User ID"),
         F.col("value").alias("Event Value"),
-        F.concat(F.lit("app"), F.col("user_id") % 7).alias("app_id"),
+        _app_id(),
         F.when(F.col("event_type") == "signup", installs)
         .when(F.col("event_type") == "purchase", retarget)
         .otherwise(in_app)
@@ -177,6 +180,63 @@ def _read_report_csv(spark, sf_dir):
     )
 
 
+def _app_id():
+    """App ids with leading zeros."""
+    number = (F.col("user_id") % 7).cast("string")
+    return F.lpad(number, 3, "0").alias("app_id")
+
+
+@query(
+    "read_report_csv_inferred",
+    """
+    SELECT 'installs_report' AS report_type,
+           lpad(CAST(user_id % 7 AS VARCHAR), 3, '0') AS app_id,
+           event_id, 'c' || CAST(user_id % 5 AS VARCHAR) AS label, value
+    FROM events WHERE event_type = 'signup'
+    UNION ALL
+    SELECT 'in_app_events_report',
+           lpad(CAST(user_id % 7 AS VARCHAR), 3, '0'),
+           event_id, event_type, value
+    FROM events WHERE event_type <> 'signup'
+    """,
+)
+def _read_report_csv_inferred(spark, sf_dir):
+    """Types with headers of their own, read without a schema."""
+    events = table(spark, sf_dir, "events")
+    installs, in_app, _ = REPORT_TYPES
+    path = scratch_path(spark, "reports")
+    signup = F.col("event_type") == "signup"
+    written = {
+        installs: events.filter(signup).select(
+            F.concat(F.lit("c"), F.col("user_id") % 5).alias("Campaign"),
+            F.col("event_id").alias("Event ID"),
+            F.col("value").alias("Event Value"),
+            _app_id(),
+        ),
+        in_app: events.filter(~signup).select(
+            F.col("event_id").alias("Event ID"),
+            F.col("event_type").alias("Event Name"),
+            F.col("value").alias("Event Value"),
+            _app_id(),
+        ),
+    }
+    for report_type, rows in written.items():
+        rows.withColumn("report_type", F.lit(report_type)).write.partitionBy(
+            "app_id", "report_type"
+        ).mode("append").options(header=True, **TIME_FORMATS).csv(path)
+
+    def read(report_type, label):
+        return read_report_csv(spark, path, report_type).select(
+            "report_type",
+            "app_id",
+            F.col("event_id").cast("bigint").alias("event_id"),
+            F.col(label).alias("label"),
+            F.col("event_value").alias("value"),
+        )
+
+    return read(installs, "campaign").unionByName(read(in_app, "event_name"))
+
+
 def _pages(df, key, fields):
     """Payloads of up to 100 rows each, in the order of the key."""
     item = F.struct(*fields)
@@ -227,6 +287,77 @@ def _read_pages(spark, sf_dir):
     )
 
 
+def _style_query(name: str, style: str, items: str, next_page):
+    """Register the reading of pages of one continuation style."""
+
+    @query(
+        name,
+        """
+        SELECT page_no, CASE WHEN page_no < max(page_no) OVER ()
+                 THEN CAST(page_no + 1 AS VARCHAR) END AS next_token,
+               CAST(n % 100 AS INTEGER) AS pos, event_id, event_type
+        FROM (SELECT CAST(n // 100 AS BIGINT) AS page_no, n, event_id, event_type
+              FROM (SELECT event_id, event_type,
+                           row_number() OVER (ORDER BY event_id) - 1 AS n
+                    FROM events))
+        """,
+    )
+    def _styled(spark, sf_dir):
+        fields = ["event_id", "event_type"]
+        events = table(spark, sf_dir, "events").select(*fields)
+        pages = (
+            batch_ids(events, PAGE_ITEMS, "event_id", "page_no")
+            .groupBy("page_no")
+            .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(items))
+        )
+        more = F.col("page_no") < (events.count() - 1) // PAGE_ITEMS
+        token = F.when(more, (F.col("page_no") + 1).cast("string"))
+        landed = pages.select(
+            "page_no",
+            F.to_json(F.struct(items, *next_page(token, more))).alias("payload"),
+        )
+        return read_pages(
+            landed.withColumn("next_token", next_token("payload", style)),
+            style,
+            "event_id bigint, event_type string",
+            keep=["page_no", "next_token"],
+        )
+
+
+_style_query(
+    "read_pages_list_offset",
+    "list_offset",
+    "lists",
+    lambda token, more: [token.alias("offset"), more.alias("has-more")],
+)
+_style_query(
+    "read_pages_contact_offset",
+    "contact_offset",
+    "contacts",
+    lambda token, more: [token.alias("vid-offset"), more.alias("has-more")],
+)
+_style_query(
+    "read_pages_link",
+    "link",
+    "results",
+    lambda token, _: [
+        F.struct(F.struct(token.alias("link")).alias("next")).alias("paging")
+    ],
+)
+_style_query(
+    "read_pages_next_uri",
+    "next_uri",
+    "messages",
+    lambda token, _: [F.coalesce(token, F.lit("")).alias("next_page_uri")],
+)
+_style_query(
+    "read_pages_token",
+    "token",
+    "connections",
+    lambda token, _: [token.alias("nextPageToken")],
+)
+
+
 @query(
     "missing_pages",
     """
@@ -292,20 +423,37 @@ def _run_sql(spark, sf_dir):
 
 @query(
     "list_files",
-    "SELECT DISTINCT o_orderstatus AS status, true AS has_bytes FROM orders",
+    """
+    SELECT 'o_orderstatus=' || o_orderstatus || '/year='
+             || CAST(year(o_orderdate) AS VARCHAR) AS folder,
+           'part' AS prefix, 'parquet' AS suffix, CAST(1 AS BIGINT) AS files,
+           true AS has_bytes
+    FROM orders GROUP BY o_orderstatus, year(o_orderdate)
+    """,
 )
 def _list_files(spark, sf_dir):
+    """One file in each folder of status and year, and no folder as a file."""
     path = scratch_path(spark, "listing")
-    orders = table(spark, sf_dir, "orders")
-    orders.write.partitionBy("o_orderstatus").parquet(path)
+    table(spark, sf_dir, "orders").withColumn(
+        "year", F.year("o_orderdate")
+    ).repartition("o_orderstatus", "year").write.partitionBy(
+        "o_orderstatus", "year"
+    ).parquet(path)
+    parts = F.split("path", "/")
+    name = F.element_at(parts, -1)
     return (
-        list_files(spark, path, glob="*.parquet")
+        list_files(spark, path)
         .groupBy(
-            F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1).alias(
-                "status"
-            )
+            F.concat_ws(
+                "/", F.element_at(parts, -3), F.element_at(parts, -2)
+            ).alias("folder"),
+            F.substring_index(name, "-", 1).alias("prefix"),
+            F.substring_index(name, ".", -1).alias("suffix"),
+        )
+        .agg(
+            F.count("*").alias("files"),
+            (F.min("length") > 0).alias("has_bytes"),
         )
-        .agg((F.min("length") > 0).alias("has_bytes"))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opsframe.operators import (
     answers_wide,
+    survey_answers,
     survey_questions,
     survey_responses,
     survey_responses_titled,
@@ -106,6 +107,17 @@ def _responses(spark, sf_dir):
     return survey_responses(envelope)
 
 
+def _answer_sql(question: str, value: str) -> str:
+    """The JSON of one entry of the answers map."""
+    return f"""CASE WHEN {value} IS NOT NULL THEN
+        '"{question}":{{"questionId":"{question}","textAnswers":{{"answers":'
+        || '[{{"value":"' || {value} || '"}},{{"value":"second"}}]}}}}' END"""
+
+
+STATUS_SQL = "CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END"
+SIZE_SQL = "CASE WHEN o_totalprice > 100000 THEN 'large' END"
+
+
 def _wide_sql(names: tuple[str, str, str]) -> str:
     first, second, third = names
     return f"""
@@ -113,34 +125,52 @@ def _wide_sql(names: tuple[str, str, str]) -> str:
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "createTime",
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
                  AS "LastSubmittedTime",
-               CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END
-                 AS "{first}",
+               '{{' || concat_ws(',', {_answer_sql("q1", STATUS_SQL)},
+                   {_answer_sql("q2", "o_orderpriority")},
+                   {_answer_sql("q3", SIZE_SQL)}) || '}}' AS answer,
+               {STATUS_SQL} AS "{first}",
                o_orderpriority AS "{second}",
-               CASE WHEN o_totalprice > 100000 THEN 'large' END AS "{third}"
+               {SIZE_SQL} AS "{third}"
         FROM orders
     """
 
 
 @query("survey_responses_wide", _wide_sql(("q1", "q2", "q3")))
 def _survey_responses_wide(spark, sf_dir):
-    return survey_responses_wide(_responses(spark, sf_dir)).drop("answer")
+    return survey_responses_wide(
+        _responses(spark, sf_dir), ["q1", "q2", "q3"]
+    )
+
+
+@query(
+    "survey_answers",
+    f"""
+    SELECT 'r' || o_orderkey AS "responseId", question_id, value
+    FROM (SELECT o_orderkey, 'q1' AS question_id, {STATUS_SQL} AS value
+          FROM orders
+          UNION ALL SELECT o_orderkey, 'q2', o_orderpriority FROM orders
+          UNION ALL SELECT o_orderkey, 'q3', {SIZE_SQL} FROM orders)
+    WHERE value IS NOT NULL
+    """,
+)
+def _survey_answers(spark, sf_dir):
+    return survey_answers(_responses(spark, sf_dir))
 
 
 @query(
     "survey_responses_titled",
-    _wide_sql(("Status", "Handling-priority", "Handling-size")),
+    _wide_sql(("Status", "Handling-priority", "q3")),
 )
 def _survey_responses_titled(spark, sf_dir):
     questions = spark.sql(
         """
         SELECT * FROM VALUES ('Status', 'q1', 'none'),
-            ('Handling', 'q2', 'priority'), ('Handling', 'q3', 'size')
+            ('Handling', 'q2', 'priority')
             AS t(question_title, question_id, sub_question)
         """
     )
-    return survey_responses_titled(_responses(spark, sf_dir), questions).drop(
-        "answer"
-    )
+    # q3 is no longer in the form and keeps its id.
+    return survey_responses_titled(_responses(spark, sf_dir), questions)
 
 
 @query(
@@ -167,4 +197,5 @@ def _answers_wide(spark, sf_dir):
         "event_type",
         "value",
         "event_id",
+        ["click", "error", "purchase", "signup", "view"],
     )

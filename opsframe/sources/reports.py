@@ -19,6 +19,9 @@ REPORT_TYPES = [
 ]
 
 
+PARTITIONS = ("app_id", "report_type")
+
+
 def read_report_csv(
     spark: SparkSession,
     root: str,
@@ -28,24 +31,37 @@ def read_report_csv(
     end: date | None = None,
     time_column: str = "event_time",
     schema: T.StructType | str | None = None,
+    quoted_newlines: bool = False,
 ) -> DataFrame:
     """One report type of one, several or all apps, column names normalised.
 
-    App and type prune directories. ``schema`` names the columns as the file
+    Only the folders of that type are read, so its own files give the header
+    and the types; app ids are text. ``schema`` names the columns as the file
     headers do, and a file with another header fails; without it the types are
-    inferred by reading the files once more.
+    inferred by reading the files once more. ``quoted_newlines`` accepts line
+    breaks inside quotes; a file is then read by one task as a whole.
     """
     if report_type not in REPORT_TYPES:
         raise ValueError(f"report_type must be one of {REPORT_TYPES}")
+    folders = f"{root.rstrip('/')}/app_id=*/report_type={report_type}"
     reader = spark.read.options(
-        header=True, escape='"', multiLine=False, mode="FAILFAST"
+        header=True,
+        escape='"',
+        multiLine=quoted_newlines,
+        mode="FAILFAST",
+        basePath=root,
     )
     if schema is None:
-        reader = reader.options(inferSchema=True)
-    else:
-        reader = reader.schema(schema).options(enforceSchema=False)
-    report = normalise_columns(reader.csv(root)).filter(
-        F.col("report_type") == report_type
+        found = reader.options(inferSchema=True).csv(folders).schema
+        fields = [f for f in found if f.name not in PARTITIONS]
+        schema = T.StructType(fields)
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    # Said to be text, app ids such as 007 are not taken for numbers.
+    for name in PARTITIONS:
+        schema = T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+    report = normalise_columns(
+        reader.schema(schema).options(enforceSchema=False).csv(folders)
     )
     if app_id is not None:
         apps = [app_id] if isinstance(app_id, str) else list(app_id)

@@ -31,15 +31,19 @@ def leaves(record: dict, lists: str = "whole") -> list[tuple[str, str]]:
 
 
 def search(record: dict, paths: list[str]) -> dict:
-    hits = {path: [v for p, v in leaves(record) if p == path] for path in paths}
-    return {
-        path: (
-            None if not values
-            else json.loads(values[0]) if len(values) == 1
-            else [json.loads(v) for v in values]
-        )
-        for path, values in hits.items()
-    }
+    by_path: dict[str, list] = {}
+    for path, shown in leaves(record):
+        by_path.setdefault(path, []).append(json.loads(shown))
+    result = {}
+    for path in paths:
+        match by_path.get(path, []):
+            case []:
+                result[path] = None
+            case [single]:
+                result[path] = single
+            case several:
+                result[path] = several
+    return result
 
 
 def as_float(value):

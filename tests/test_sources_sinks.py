@@ -83,7 +83,32 @@ def test_reports(spark, tmp_path, plan_of):
     )
     assert one.count() == 1
     filters = plan_of(one)
-    assert "PartitionFilters: [isnotnull(report_type" in filters
+    assert "PartitionFilters: [isnotnull(app_id" in filters
+
+
+def test_reports_of_types_with_different_headers(spark, tmp_path):
+    def file(app, kind, text):
+        folder = tmp_path / f"app_id={app}" / f"report_type={kind}"
+        folder.mkdir(parents=True)
+        (folder / "part.csv").write_text(text)
+
+    file("007", "installs_report", "Event Time,Campaign\n2024-01-01 10:00:00,spring\n")
+    file("08", "installs_report", 'Event Time,Campaign\n2024-01-02 10:00:00,"two\nlines"\n')
+    file("com.shop", "in_app_events_report", "Event Time,Event Name,N\n2024-01-01 11:00:00,buy,5\n")
+    root = str(tmp_path)
+    for schema in (None, "`Event Time` timestamp, `Campaign` string"):
+        installs = read_report_csv(
+            spark, root, "installs_report", schema=schema, quoted_newlines=True
+        )
+        assert installs.columns == ["event_time", "campaign", "app_id", "report_type"]
+        found = [(r.app_id, r.campaign) for r in installs.orderBy("app_id").collect()]
+        assert found == [("007", "spring"), ("08", "two\nlines")]
+    events = read_report_csv(spark, root, "in_app_events_report")
+    assert [(r.event_name, r.n, r.app_id) for r in events.collect()] == [
+        ("buy", 5, "com.shop")
+    ]
+    one = read_report_csv(spark, root, "installs_report", "007")
+    assert [r.campaign for r in one.collect()] == ["spring"]
     inferred = read_report_csv(spark, str(tmp_path), "in_app_events_report")
     assert inferred.first().event_time == datetime(2024, 1, 1, 11)
     with pytest.raises(ValueError):

@@ -7,6 +7,7 @@ from opsframe.operators import (
     answers_wide,
     column_names,
     question_ids,
+    survey_answers,
     survey_questions,
     survey_responses,
     survey_responses_titled,
@@ -77,8 +78,9 @@ def test_questions(questions):
 
 
 def test_wide_aligns_answers_by_question(responses):
-    assert question_ids(responses) == ["q1", "q2", "q3"]
-    wide = survey_responses_wide(responses).orderBy("responseId")
+    ids = sorted(r.id for r in question_ids(responses).collect())
+    assert ids == ["q1", "q2", "q3"]
+    wide = survey_responses_wide(responses, ids).orderBy("responseId")
     assert wide.columns[:4] == [
         "responseId",
         "createTime",
@@ -108,6 +110,30 @@ def test_titles(responses, questions):
     assert row["Name-q4"] is None
 
 
+def test_questions_that_left_the_form_keep_their_answers(responses, questions):
+    known = questions.filter("question_id = 'q1'")
+    titled = survey_responses_titled(responses, known)
+    assert titled.columns[4:] == ["Name", "q2", "q3"]
+    assert titled.filter("responseId = 'r1'").first()["q2"] == "5"
+
+
+def test_long_form_holds_any_number_of_questions(spark, responses):
+    assert sorted(map(tuple, survey_answers(responses).collect())) == [
+        ("r1", "q1", "Ann"),
+        ("r1", "q2", "5"),
+        ("r2", "q3", "1"),
+    ]
+    many = spark.range(10_001).select(
+        F.concat(F.lit("r"), "id").alias("responseId"),
+        F.expr(
+            "map('x', named_struct('questionId', 'q' || id, 'textAnswers',"
+            " map('answers', array(named_struct('value', 'v')))))"
+        ).alias("answers"),
+    )
+    assert survey_answers(many).select("question_id").distinct().count() == 10_001
+    assert question_ids(many).count() == 10_001
+
+
 def test_wide_needs_no_shuffle(responses, plan_of):
     wide = survey_responses_wide(responses, ["q1", "q2"])
     assert "Exchange" not in plan_of(wide)
@@ -117,7 +143,7 @@ def test_answers_in_rows(spark):
     rows = [("r1", "a", None, 0), ("r1", "a", "x", 1), ("r1", "a", "y", 2)]
     rows += [("r2", "b", "z", 0), ("r2", None, "w", 1)]
     df = spark.createDataFrame(rows, "r string, q string, v string, n int")
-    wide = answers_wide(df, "r", "q", "v", "n").orderBy("r")
+    wide = answers_wide(df, "r", "q", "v", "n", ["a", "b"]).orderBy("r")
     assert [tuple(r) for r in wide.collect()] == [
         ("r1", "x", None),
         ("r2", None, "z"),
