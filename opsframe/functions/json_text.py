@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,15 +179,24 @@ def parse_json_numeric(
     schema: T.DataType | str | None = None,
     output: str = "parsed",
     drop_bad: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Parse JSON text with numeric conversion at every nesting level.
 
     Malformed text gives NULL in ``output``; ``drop_bad`` removes those rows.
-    Without a schema one extra pass over the column infers it.
+    ``observation`` gets their number as ``bad_rows`` when the result is
+    computed. Without a schema one extra pass over the column infers it; a
+    column without any JSON value gives NULL text.
     """
+    if observation is not None:
+        bad = F.col(column).isNotNull() & ~is_json(column)
+        df = df.observe(observation, F.count_if(bad).alias("bad_rows"))
     if schema is None:
         schema = infer_json_schema(df, column)
-    parsed = F.when(is_json(column), F.from_json(column, schema))
+    if isinstance(schema, T.NullType):
+        parsed = F.lit(None).cast("string")
+    else:
+        parsed = F.when(is_json(column), F.from_json(column, schema))
     result = df.withColumn(output, parsed)
     dtype = result.schema[output].dataType
     if drop_bad:
@@ -193,13 +204,55 @@ def parse_json_numeric(
     return result.withColumn(output, numeric_struct(F.col(output), dtype))
 
 
-def infer_json_schema(df: DataFrame, column: str) -> str:
-    """DDL of the JSON text in a column, from one pass that merges the
-    schemas of all rows. Places that hold mixed types become VARIANT."""
+def infer_json_schema(df: DataFrame, column: str) -> T.DataType:
+    """Type of the JSON text in a column, from one pass that merges the
+    schemas of all rows. Places that hold mixed types become VARIANT.
+
+    The merged schema comes to the driver, as every schema does; where keys
+    are data, such as ids, give the schema (a map) instead.
+    """
     merged = df.select(
         F.schema_of_variant_agg(parse_json_line(column))
     ).first()[0]
-    return merged.replace("OBJECT<", "STRUCT<").replace(" VOID", " STRING")
+    return _variant_type(merged)
+
+
+# A key as the schema text shows it: plain or quoted by backticks.
+_KEY = re.compile(r"\s*(?:`((?:[^`]|``)*)`|([^`:<>,]+?))\s*:\s*")
+
+
+def _variant_type(text: str) -> T.DataType:
+    """The type that a schema text of VARIANT values names."""
+    dtype, rest = _read_type(text)
+    if rest.strip():
+        raise ValueError(f"schema not understood: {text}")
+    return dtype
+
+
+def _read_type(text: str, inside: bool = False) -> tuple[T.DataType, str]:
+    """The type at the start of a schema text, and the text behind it.
+
+    ``inside`` a value the type of a NULL is text; the type of nothing but
+    NULLs is the null type.
+    """
+    if text.startswith("ARRAY<"):
+        element, rest = _read_type(text[len("ARRAY<") :], True)
+        return T.ArrayType(element), rest[1:]
+    if text.startswith("OBJECT<"):
+        fields, rest = [], text[len("OBJECT<") :]
+        while not rest.startswith(">"):
+            found = _KEY.match(rest)
+            quoted, plain = found.groups()
+            name = plain if quoted is None else quoted.replace("``", "`")
+            dtype, rest = _read_type(rest[found.end() :], True)
+            fields.append(T.StructField(name, dtype))
+            rest = rest.removeprefix(",")
+        return T.StructType(fields), rest[1:]
+    end = re.match(r"[A-Za-z_]+(\(\s*\d+\s*(,\s*\d+\s*)?\))?", text).end()
+    name, rest = text[:end], text[end:]
+    if name.upper() == "VOID":
+        return (T.StringType() if inside else T.NullType()), rest
+    return T.DataType.fromDDL(name), rest
 
 
 def as_json_text(column: Column, dtype: T.DataType) -> Column:

@@ -221,12 +221,65 @@ def _expand(node: Column, lists: str) -> Column:
     )
 
 
+def variant_depth(df: DataFrame, column: str) -> int:
+    """How deep brackets are nested in the VARIANT values of a column: one
+    aggregate over it, of which a single number comes to the driver."""
+    text = F.to_json(column)
+    outside = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', "")
+    brackets = F.split(F.regexp_replace(outside, r"[^\[\]{}]", ""), "")
+    state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(held: Column, sign: Column) -> Column:
+        now = held["now"] + (
+            F.when(sign.isin("{", "["), 1).when(sign.isin("}", "]"), -1)
+            .otherwise(0)
+        )
+        return F.struct(
+            now.alias("now"), F.greatest(held["most"], now).alias("most")
+        )
+
+    deepest = F.aggregate(brackets, state, step)["most"]
+    return df.agg(F.max(deepest)).first()[0] or 0
+
+
+def _next_level(found: Column, lists: str) -> Column:
+    return F.flatten(F.transform(found, lambda node: _expand(node, lists)))
+
+
 def _variant_nodes(column: Column, max_depth: int, lists: str) -> Column:
     found = _entries(F.lit(""), column, first=True)
     for _ in range(max_depth):
-        found = F.flatten(
-            F.transform(found, lambda node: _expand(node, lists))
-        )
+        found = _next_level(found, lists)
+    return _closed(found, max_depth)
+
+
+def _with_nodes(
+    df: DataFrame,
+    column: str,
+    output: str,
+    lists: str,
+    nulls: str,
+    max_depth: int | None,
+) -> DataFrame:
+    """``df`` with the nodes of a record as a column, NULLs between them.
+
+    The levels of a VARIANT record are columns one after the other: as one
+    expression, deep records would take the analyzer too many rounds.
+    """
+    dtype = df.select(F.col(column)).schema[0].dataType
+    if not isinstance(dtype, T.VariantType):
+        found = _raw_nodes(df, column, lists, nulls, max_depth)
+        return df.withColumn(output, found)
+    _check(lists, nulls)
+    depth = variant_depth(df, column) if max_depth is None else max_depth
+    df = df.withColumn(output, _entries(F.lit(""), F.col(column), first=True))
+    for _ in range(depth):
+        df = df.withColumn(output, _next_level(F.col(output), lists))
+    return df.withColumn(output, _closed(F.col(output), depth))
+
+
+def _closed(found: Column, max_depth: int) -> Column:
+    """The nodes of a record when none is open any more."""
     # A node still open is an entry of a dict one level too deep.
     deeper = F.raise_error(
         F.lit(f"dicts are nested deeper than max_depth={max_depth}")
@@ -251,13 +304,14 @@ def _check(lists: str, nulls: str) -> None:
 
 
 def _raw_nodes(
-    df: DataFrame, column: str, lists: str, nulls: str, max_depth: int
+    df: DataFrame, column: str, lists: str, nulls: str, max_depth: int | None
 ) -> Column:
     """The nodes of a record, NULLs between them in the typed plan."""
     _check(lists, nulls)
     dtype = df.select(F.col(column)).schema[0].dataType
     if isinstance(dtype, T.VariantType):
-        return _variant_nodes(F.col(column), max_depth, lists)
+        depth = variant_depth(df, column) if max_depth is None else max_depth
+        return _variant_nodes(F.col(column), depth, lists)
     walk = _Walk(lists, nulls, _full_node, _no_nodes())
     found = _typed_nodes(F.col(column), dtype, None, walk)
     return F.when(F.col(column).isNotNull(), _assemble(found, walk)).otherwise(
@@ -270,7 +324,7 @@ def nodes(
     column: str,
     lists: str = "whole",
     nulls: str = "drop",
-    max_depth: int = 12,
+    max_depth: int | None = None,
 ) -> Column:
     """The ``array<struct<path, value>>`` of every leaf under ``column``.
 
@@ -279,8 +333,9 @@ def nodes(
     once without descending into it. Dicts inside a list keep the list's path.
 
     A typed column cannot tell an absent key from ``null``: ``nulls`` drops
-    them or emits ``null``. A VARIANT column is exact; one with dicts nested
-    deeper than ``max_depth`` levels fails the query.
+    them or emits ``null``. A VARIANT column is exact. Its depth is taken from
+    the data by a pass over the column; ``max_depth`` gives it beforehand, as a
+    stream needs it, and a deeper record then fails the query.
     """
     return F.array_compact(_raw_nodes(df, column, lists, nulls, max_depth))
 
@@ -291,30 +346,35 @@ def node_map(
     keys: list[str] | None = None,
     lists: str = "whole",
     nulls: str = "drop",
-    max_depth: int = 12,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """One row ``(keys..., path, value)`` per leaf of the nested record; see
     ``nodes`` for the options."""
     kept = [c for c in df.columns if c != column] if keys is None else keys
-    found = _raw_nodes(df, column, lists, nulls, max_depth)
-    exploded = df.select(*kept, F.explode(found).alias("_node"))
+    walked = _with_nodes(
+        df.select(*dict.fromkeys([*kept, column])),
+        column,
+        "_nodes",
+        lists,
+        nulls,
+        max_depth,
+    )
+    exploded = walked.select(*kept, F.explode("_nodes").alias("_node"))
     return exploded.filter(F.col("_node").isNotNull()).select(
         *kept, "_node.path", "_node.value"
     )
 
 
 def leaf_paths(
-    df: DataFrame, column: str, output: str = "paths", max_depth: int = 12
+    df: DataFrame, column: str, output: str = "paths", max_depth: int | None = None
 ) -> DataFrame:
     """Add the dotted paths of all leaves. Lists are leaves, an empty dict
     gives none."""
     dtype = df.select(F.col(column)).schema[0].dataType
     if isinstance(dtype, T.VariantType):
-        found = F.transform(
-            _variant_nodes(F.col(column), max_depth, "leaf"),
-            lambda node: node.getField("path"),
-        )
-        return df.withColumn(output, found)
+        walked = _with_nodes(df, column, "_nodes", "leaf", "drop", max_depth)
+        found = F.transform("_nodes", lambda node: node.getField("path"))
+        return walked.withColumn(output, found).drop("_nodes")
     walk = _Walk(
         "leaf", "drop", lambda path, _: path, F.array().cast("array<string>")
     )
@@ -353,7 +413,7 @@ def find_paths(
     strict: bool = False,
     lists: str = "whole",
     nulls: str = "drop",
-    max_depth: int = 12,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Add one column per path: the value, or the list of values where the
     path occurs several times.
@@ -371,10 +431,11 @@ def find_paths(
 
     if isinstance(dtype, T.VariantType) or _has_maps(dtype):
         wanted = F.filter(
-            _raw_nodes(df, column, lists, nulls, max_depth),
-            lambda node: node.getField("path").isin(paths),
+            "_nodes", lambda node: node.getField("path").isin(paths)
         )
-        walked = df.withColumn("_nodes", wanted).select(
+        walked = _with_nodes(
+            df, column, "_nodes", lists, nulls, max_depth
+        ).withColumn("_nodes", wanted).select(
             *kept,
             *[
                 _values_of("_nodes", path).alias(hit)

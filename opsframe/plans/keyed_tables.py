@@ -133,6 +133,61 @@ def _upsert(spark, sf_dir):
     )
 
 
+@query(
+    "upsert_by_either_key",
+    """
+    WITH contacts AS (
+      SELECT c_custkey AS vid, 'c' || c_custkey AS email,
+             c_mktsegment AS segment FROM customer
+    ), updates AS (
+      SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey * 2 END AS vid,
+             'c' || (o_custkey * 2) AS email, o_orderkey AS seq,
+             CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS value
+      FROM orders
+    ), placed AS (
+      SELECT coalesce(u.vid, c.vid) AS vid, u.email, seq, value
+      FROM updates u LEFT JOIN contacts c ON u.vid IS NULL AND u.email = c.email
+    ), latest AS (
+      SELECT vid, CASE WHEN vid IS NULL THEN email END AS email,
+             arg_max(value, seq) AS value
+      FROM placed GROUP BY 1, 2
+    )
+    SELECT c.vid, c.email, coalesce(l.value, c.segment) AS segment
+    FROM contacts c LEFT JOIN latest l ON c.vid = l.vid
+    UNION ALL
+    SELECT vid, email, value FROM latest
+    WHERE vid IS NULL OR vid NOT IN (SELECT vid FROM contacts)
+    """,
+)
+def _upsert_by_either_key(spark, sf_dir):
+    """Contacts named by id or else by email; orders of status P name theirs
+    without any property."""
+    target = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("vid"),
+        F.concat(F.lit("c"), "c_custkey").alias("email"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    named = F.struct(
+        F.lit("segment").alias("property"),
+        F.col("o_orderpriority").alias("value"),
+    )
+    twice = F.col("o_custkey") * 2
+    contacts = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 3 != 0, twice).alias("vid"),
+        F.concat(F.lit("c"), twice).alias("email"),
+        F.col("o_orderkey").alias("seq"),
+        F.filter(
+            F.array(F.when(F.col("o_orderstatus") != "P", named)),
+            lambda p: p.isNotNull(),
+        ).alias("properties"),
+    )
+    changes = property_updates(contacts, ["vid", "email"], "seq")
+    # The position is NULL for a contact without properties.
+    return upsert(
+        target, changes, "vid", ["seq"], other_key="email"
+    )
+
+
 @query(
     "masked_update",
     """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -229,3 +230,31 @@ def _sparse_record(spark, sf_dir):
     return records.select("c_custkey", "record").unionByName(
         rejected.select("c_custkey", F.lit(None).alias("record"))
     )
+
+
+@query(
+    "filter_date_column",
+    """
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
+    WHERE CAST(o_orderdate AS DATE) >= DATE '1997-03-02'
+      AND CAST(o_orderdate AS DATE) <= DATE '1998-01-01'
+      AND o_totalprice > 1000.5
+    """,
+)
+def _filter_date_column(spark, sf_dir):
+    """Times of day and epoch milliseconds against dates; a decimal price."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_totalprice",
+        F.col("o_orderdate").cast("date").alias("day"),
+    )
+    recent = since(orders, "day", datetime(1997, 3, 1, 12))
+    groups = [
+        {"propertyName": "day", "operator": "LT", "value": 883699200000 - 1},
+        {
+            "propertyName": "o_totalprice",
+            "operator": "GT",
+            "value": Decimal("1000.5"),
+        },
+    ]
+    return filter_groups(recent, groups).select("o_orderkey", "day")

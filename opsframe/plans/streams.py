@@ -13,15 +13,18 @@ from opsframe.streaming import (
     envelope,
     job_status_stream,
     publish_stream,
+    split_triggers,
 )
 
+FILES = 4
 CONTEXT = "event_id bigint, event_type string, value double"
 
 
 def _trigger_folder(spark, sf_dir):
     """The events as trigger messages in a folder."""
     path = scratch_path(spark, "triggers")
-    events = table(spark, sf_dir, "events")
+    # Several files, so that a stream has several micro-batches.
+    events = table(spark, sf_dir, "events").repartition(FILES)
     encode_triggers(
         events.withColumn("message_id", F.col("event_id")),
         ["event_id", "event_type", "value"],
@@ -57,7 +60,8 @@ def _decode_trigger_stream(spark, sf_dir):
     "publish_stream",
     """
     SELECT 'projects/shop/topics/triggers' AS topic, event_type AS type,
-           CAST(event_id AS VARCHAR) AS id, event_id
+           CAST(event_id AS VARCHAR) AS id, event_id, event_type, value,
+           3 AS fields
     FROM events
     """,
 )
@@ -81,8 +85,56 @@ def _publish_stream(spark, sf_dir):
         "topic",
         F.col("attributes")["type"].alias("type"),
         F.col("attributes")["id"].alias("id"),
-        F.get_json_object(data, "$.event_id").cast("bigint").alias("event_id"),
+        F.from_json(data, CONTEXT).alias("context"),
+        F.size(F.map_keys(F.from_json(data, "map<string,string>"))).alias("fields"),
+    ).select("topic", "type", "id", "context.*", "fields")
+
+
+@query(
+    "split_triggers",
+    """
+    SELECT event_id AS message_id,
+           event_type NOT IN ('error', 'view') AS good,
+           CASE WHEN event_type NOT IN ('error', 'view') THEN value END AS value
+    FROM events
+    """,
+)
+def _split_triggers(spark, sf_dir):
+    """One stream of the messages that decode and one of those that don't."""
+    folder = scratch_path(spark, "mixed")
+    messages = spark.read.parquet(_trigger_folder(spark, sf_dir)).join(
+        table(spark, sf_dir, "events").select(
+            F.col("event_id").alias("message_id"), "event_type"
+        ),
+        "message_id",
     )
+    broken = (
+        F.when(F.col("event_type") == "error", F.lit("%% no base64"))
+        .when(F.col("event_type") == "view", F.base64(F.lit('{"event_id": "x"')))
+        .otherwise(F.col("data"))
+    )
+    messages.select("message_id", broken.alias("data")).write.parquet(folder)
+    source = spark.readStream.schema("message_id bigint, data string")
+    good, rejected = split_triggers(source.parquet(folder), CONTEXT)
+    written = []
+    for part in (
+        good.select("message_id", F.lit(True).alias("good"), "context.value"),
+        rejected.select(
+            "message_id",
+            F.lit(False).alias("good"),
+            F.lit(None).cast("double").alias("value"),
+        ),
+    ):
+        out = scratch_path(spark, "part")
+        _finish(
+            part.writeStream.format("parquet")
+            .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+            .option("path", out)
+            .trigger(availableNow=True)
+            .start()
+        )
+        written.append(spark.read.schema(part.schema).parquet(out))
+    return written[0].unionByName(written[1])
 
 
 @query(
@@ -98,9 +150,11 @@ def _job_status_stream(spark, sf_dir):
     triggers = _trigger_folder(spark, sf_dir)
     statuses = scratch_path(spark, "status")
 
-    def start(service, work):
+    def start(service, work, files):
         return job_status_stream(
-            decode_trigger_stream(spark, triggers, CONTEXT),
+            decode_trigger_stream(
+                spark, triggers, CONTEXT, files_per_batch=files
+            ),
             work,
             f"{statuses}/{service}",
             scratch_path(spark, "checkpoint"),
@@ -117,8 +171,9 @@ def _job_status_stream(spark, sf_dir):
     def break_down(batch, batch_id):
         raise ValueError("the work of this service fails")
 
-    _finish(start("importer", copy))
-    failing = start("exporter", break_down)
+    _finish(start("importer", copy, 1))
+    # The failing service takes all in one batch, as its first is its last.
+    failing = start("exporter", break_down, FILES)
     try:
         failing.awaitTermination()
     except Exception as error:

@@ -15,6 +15,7 @@ from opsframe.streaming.triggers import (
     decode_trigger_stream,
     decode_triggers,
     encode_triggers,
+    split_triggers,
 )
 
 __all__ = [
@@ -27,5 +28,6 @@ __all__ = [
     "log_batches",
     "publish",
     "publish_stream",
+    "split_triggers",
     "topic_path",
 ]

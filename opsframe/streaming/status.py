@@ -48,7 +48,9 @@ def log_batches(
     ``succeeded`` or ``failed``; a failure is raised again. A batch writes
     each result to its own folder ``batch_id=/result=`` and overwrites it, so
     a batch that is run again leaves one message per context and result. The
-    batch is kept while it is worked on, as it is read three times.
+    batch is read from its source for each of the three, which for files and
+    logs costs less than keeping it; a source that can't be read again must
+    be stored by the caller first.
     """
 
     def report(batch: DataFrame, batch_id: int, result: str) -> None:
@@ -59,17 +61,13 @@ def log_batches(
         messages.write.mode("overwrite").parquet(target)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        report(batch, batch_id, RAN)
         try:
-            report(batch, batch_id, RAN)
-            try:
-                work(batch, batch_id)
-            except Exception:
-                report(batch, batch_id, FAILED)
-                raise
-            report(batch, batch_id, SUCCEEDED)
-        finally:
-            batch.unpersist()
+            work(batch, batch_id)
+        except Exception:
+            report(batch, batch_id, FAILED)
+            raise
+        report(batch, batch_id, SUCCEEDED)
 
     return run
 

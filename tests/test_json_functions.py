@@ -187,7 +187,7 @@ def test_inferred_schema_covers_all_rows(spark):
     assert {r["m_num"] for r in rows} == {1.0, 7.0, None}
     assert [r["b"] for r in rows if r["b"]] == [{"c": ["x"]}]
     assert "VARIANT" not in parsed.schema.simpleString().upper()
-    assert "STRUCT" in infer_json_schema(df, "value")
+    assert "struct" in infer_json_schema(df, "value").simpleString()
 
 
 def test_last_of_repeated_keys_wins(spark):
@@ -219,3 +219,24 @@ def test_flatten_skips_missing_sublists(spark):
     )
     got = [r[0] for r in df.select(flatten_lists("l")).collect()]
     assert got == [[1, 2, 3], [], None]
+
+
+def test_inferred_schema_keeps_odd_keys(spark):
+    text = '{"a b":1,"OBJECT<x":{"c":null,"d`e":[1,2.5]},"VOID":2,"e":{},"":5}'
+    df = spark.createDataFrame([(text,), ("broken",)], "v string")
+    row = parse_json_numeric(df, "v").filter("parsed IS NOT NULL").first().parsed
+    assert row["a b"] == 1.0 and row["VOID"] == 2.0 and row[""] == 5.0
+    assert row["OBJECT<x"]["d`e"] == [1, 2.5] and row["OBJECT<x"]["c"] is None
+
+
+def test_only_bad_rows_give_nulls_and_are_counted(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([("{",), (None,), ("x y",)], "v string")
+    seen = Observation("parsed")
+    rows = parse_json_numeric(df, "v", observation=seen).collect()
+    assert [r.parsed for r in rows] == [None] * 3
+    assert seen.get == {"bad_rows": 2}
+    seen = Observation("again")
+    parse_json_numeric(df, "v", "a double", drop_bad=True, observation=seen).collect()
+    assert seen.get == {"bad_rows": 2}

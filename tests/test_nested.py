@@ -238,3 +238,21 @@ def test_find_reads_only_the_wanted_fields(spark, tmp_path, plan_of):
     df = spark.read.parquet(path)
     plan = plan_of(find_paths(df, "record", ["b.c"]).select("b_c"))
     assert "ReadSchema: struct<record:struct<b:struct<c:bigint>>>" in plan
+
+
+def test_records_of_any_depth(spark):
+    import json
+
+    record = leaf = {}
+    for k in range(30):
+        leaf["k"] = {} if k < 29 else 7
+        leaf["s"] = '}{"[\\\\'
+        leaf = leaf["k"]
+    df = spark.createDataFrame([(json.dumps(record),)], "t string").select(
+        F.parse_json("t").alias("r")
+    )
+    found = {r.path: r.value for r in node_map(df, "r").collect()}
+    assert found[".".join(["k"] * 30)] == "7" and len(found) == 31
+    assert len(leaf_paths(df, "r").first().paths) == 31
+    row = find_paths(df, "r", [".".join(["k"] * 30)], ["deep"]).first()
+    assert row.deep == "7"

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 import check_queries
 from conftest import TEST_DATA
+from opsframe.plans import REGISTERED
 
 
 @pytest.fixture(scope="module")
@@ -19,10 +20,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(REGISTERED) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query(spark, connection, name):
     found = entry_points.queries()[name](spark, TEST_DATA).toArrow()
     wanted = connection.sql(entry_points.oracle_sql()[name]).to_arrow_table()

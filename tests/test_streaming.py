@@ -1,3 +1,4 @@
+import base64
 import json
 
 import pytest
@@ -12,6 +13,7 @@ from opsframe.streaming import (
     job_status_stream,
     publish,
     publish_stream,
+    split_triggers,
 )
 
 CONTEXT = "job string, n int"
@@ -138,3 +140,28 @@ def test_failed_batch_is_reported_raised_and_run_again(spark, triggers, tmp_path
 def test_unknown_result(spark):
     with pytest.raises(ValueError):
         job_status(spark.range(1), "id", "done", "p", "t", {})
+
+
+def test_malformed_messages_are_set_apart(spark):
+    def coded(text):
+        return base64.b64encode(text).decode()
+
+    rows = [
+        (1, coded(b'{"job":"a","n":1}')),
+        (2, "%% no base64"),
+        (3, coded(b"\xff\xfe")),
+        (4, coded(b'{"job":"a"')),
+        (5, coded(b"5")),
+        (6, coded(b'{"job":"a","n":"many"}')),
+        (7, None),
+        (8, coded(b'{"job":"b"}')),
+    ]
+    df = spark.createDataFrame(rows, "message_id int, data string")
+    good, rejected = split_triggers(df, CONTEXT)
+    assert {r.message_id: tuple(r.context) for r in good.collect()} == {
+        1: ("a", 1),
+        8: ("b", None),
+    }
+    assert sorted(map(tuple, rejected.collect())) == [
+        r for r in rows if r[0] not in (1, 8)
+    ]
