@@ -42,9 +42,11 @@ RUN = re.compile(f"{MARK}+[^{MARK}]*")
 SHORT = 40
 NEVER = float("inf")
 # Runs kept per worker, and the longest that is kept.
-KEPT_RUNS = 1_000_000
-KEPT_SEGMENTS = 300_000
+KEPT_RUNS = 400_000
+KEPT_SEGMENTS = 100_000
 KEPT_CHARS = 40
+# Texts decoded and digested at once.
+AT_ONCE = 100
 
 
 class Vocabulary:
@@ -261,37 +263,35 @@ def piece_digests(
         decimal = encoder.decimals.__getitem__
         for docs in batches:
             texts = docs.column(docs.num_columns - 1)
-            ids = [x.tolist() for x in encoder.encode(texts)]
-            if check == "texts":
-                texts = texts.to_pylist()
-                compare(
-                    ids, library.encode(texts, num_threads=1), texts
-                )
-            decoded = library.decode(ids) if ids else []
-            columns = [
-                *docs.columns[:-1],
-                pa.array(map(len, ids), pa.int64()),
-                pa.array(
-                    [
-                        hashlib.sha256(
-                            ",".join(map(decimal, x)).encode()
-                        ).hexdigest()
-                        for x in ids
-                    ],
-                    pa.string(),
-                ),
-                pa.array(
-                    [hashlib.sha256(x.encode()).hexdigest() for x in decoded],
-                    pa.string(),
-                ),
-            ]
-            names = [*docs.schema.names[:-1]]
-            names += ["n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-                columns.append(pa.array(decoded, pa.string()))
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            ids = encoder.encode(texts)
+            for start in range(0, len(ids), AT_ONCE):
+                some = docs.slice(start, AT_ONCE)
+                # Ids as Python numbers take much room, so of few texts.
+                lists = [x.tolist() for x in ids[start : start + AT_ONCE]]
+                if check == "texts":
+                    plain = some.column(some.num_columns - 1).to_pylist()
+                    compare(
+                        lists, library.encode(plain, num_threads=1), plain
+                    )
+                yield digests(some, lists, library.decode(lists), decimal)
+
+    def digests(docs, ids, decoded, decimal) -> pa.RecordBatch:
+        def sha(text: str) -> str:
+            return hashlib.sha256(text.encode()).hexdigest()
+
+        columns = [
+            *docs.columns[:-1],
+            pa.array(map(len, ids), pa.int64()),
+            pa.array([sha(",".join(map(decimal, x))) for x in ids], pa.string()),
+            pa.array(map(sha, decoded), pa.string()),
+        ]
+        names = [*docs.schema.names[:-1]]
+        names += ["n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            columns.append(pa.array(ids, pa.list_(pa.int32())))
+            columns.append(pa.array(decoded, pa.string()))
+            names += ["ids", "decoded"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     kept = "".join(
         f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep

@@ -555,7 +555,9 @@ def replace_entities(
             )
         )
     )
-    rows = rows.withColumn("_surnames", surnames).withColumn("_made", joined)
+    rows = rows.withColumn("_surnames", surnames).withColumn(
+        "_made", F.when(some, joined).otherwise(text)
+    )
     joined = F.when(
         F.size("_surnames") > 0,
         F.aggregate(
@@ -572,7 +574,7 @@ def replace_entities(
     ).otherwise(F.col("_made"))
     return rows.select(
         *(
-            F.when(some, joined).otherwise(text).alias("text")
+            joined.alias("text")
             if c == "`text`"
             else F.col(c)
             for c in plain
