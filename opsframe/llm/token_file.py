@@ -146,7 +146,9 @@ class Encoder:
         self.whole = re.compile(f"{HEAD}|{whole}" if whole else HEAD)
         self.model = self.tokenizer.model
         self.marks = {
-            mark: self.tokenizer.encode(mark, add_special_tokens=False).ids
+            mark: array(
+                "I", self.tokenizer.encode(mark, add_special_tokens=False).ids
+            ).tobytes()
             for mark in MARKS
         }
         self.kept = Kept(self._ids, KEPT_STRETCHES, KEPT_CHARS)
@@ -154,21 +156,23 @@ class Encoder:
     def _ids(self, stretches: list[str]) -> list[bytes]:
         """Ids of stretches. A plain word, with one mark at most behind it, is
         one or two pieces of text for the model and skips what the library
-        does to find them."""
+        does to find them. A mark behind a letter is always a piece of its
+        own, so what is in front of it may be known already."""
         found: list = [None] * len(stretches)
         others = []
         for k, stretch in enumerate(stretches):
-            word = stretch
-            mark = self.marks.get(word[-1:])
-            if mark is not None:
-                word = word[:-1]
-            if word.isalpha() and max(word) < PLAIN_BELOW:
+            mark = self.marks.get(stretch[-1:], b"")
+            word = stretch[:-1] if mark else stretch
+            known = None
+            if mark and word[-1:].isalpha() and word[-1] < PLAIN_BELOW:
+                known = self.kept.new.get(word)
+            if known is not None:
+                found[k] = known + mark
+            elif word.isalpha() and max(word) < PLAIN_BELOW:
                 if not word.isascii():
                     word = "".join(map(SIGNS.__getitem__, word.encode()))
-                ids = [x.id for x in self.model.tokenize(SPACE_SIGN + word)]
-                if mark is not None:
-                    ids += mark
-                found[k] = ids
+                pieces = self.model.tokenize(SPACE_SIGN + word)
+                found[k] = array("I", [x.id for x in pieces]).tobytes() + mark
             else:
                 others.append(k)
         if others:
@@ -182,8 +186,8 @@ class Encoder:
                 add_special_tokens=False,
             )
             for k, x in zip(others, more):
-                found[k] = x.ids
-        return [array("I", x).tobytes() for x in found]
+                found[k] = array("I", x.ids).tobytes()
+        return found
 
     def _stretches(self, text: str) -> list[str]:
         if self.whole.search(text):

@@ -62,6 +62,18 @@ def test_byte_encoder_is_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == wanted
 
 
+def test_known_words_with_marks_are_the_library():
+    library = Tokenizer.from_file(BYTES)
+    encoder = Encoder(BYTES)
+    words_ = ["a", "a!", "a!!", "it's", "x'", "9", "é", "word", "1.", "'", "'s", ""]
+    for marks in ("", ".", "!", "!!", ".,", "?!", "'"):
+        texts = [f"x {w}{marks}" for w in words_] * 2
+        ids, edges = encoder.encode(pa.array(texts, pa.string()))
+        for text, a, b in zip(texts, edges, edges[1:]):
+            wanted = library.encode(text, add_special_tokens=False).ids
+            assert ids[a:b].tolist() == wanted, text
+
+
 @pytest.mark.parametrize("texts", [strange_texts(), [words(1, 500), LONG], [], [""]])
 def test_piece_encoder_is_the_library(texts):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
