@@ -324,7 +324,10 @@ def train(
             *_meta(docs),
         )
         .join(F.broadcast(drawn), "doc_id")
-        .select("doc_id", "_label", "_text", "_source", "_lang", "_n_chars")
+        # One row of an id, or an id with very many rows would be the sample.
+        .groupBy("doc_id", "_label")
+        .agg(F.min(F.struct("_text", "_source", "_lang", "_n_chars")).alias("_r"))
+        .select("doc_id", "_label", "_r.*")
         .mapInArrow(
             run,
             f"doc_id {key}, label int, ts array<int>, tv array<float>,"
