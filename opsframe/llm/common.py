@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from opsframe.session import configure, scratch_path
 
-# Rows and bytes handed to a Python worker at once, whichever comes first.
-BATCH = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
-}
+# Rows handed to a Python worker at once, and bytes for each of them; a batch
+# ends with whichever comes first.
+BATCH_ROWS = 2000
+ROW_BYTES = 8 << 10
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
     """The session with the settings the text operators rely on."""
     configure(spark)
-    for key, value in BATCH.items():
+    batch = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(rows * ROW_BYTES),
+    }
+    for key, value in batch.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

@@ -42,8 +42,8 @@ RUN = re.compile(f"{MARK}+[^{MARK}]*")
 SHORT = 40
 NEVER = float("inf")
 # Runs kept per worker, and the longest that is kept.
-KEPT_RUNS = 400_000
-KEPT_SEGMENTS = 100_000
+KEPT_RUNS = 150_000
+KEPT_SEGMENTS = 40_000
 KEPT_CHARS = 40
 # Texts decoded and digested at once.
 AT_ONCE = 100
@@ -274,6 +274,9 @@ def piece_digests(
                         lists, library.encode(plain, num_threads=1), plain
                     )
                 yield digests(some, lists, library.decode(lists), decimal)
+            del ids, docs, texts
+            # The worker lives on; what it no longer needs goes back.
+            pa.default_memory_pool().release_unused()
 
     def digests(docs, ids, decoded, decimal) -> pa.RecordBatch:
         def sha(text: str) -> str:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from opsframe.llm.chat_tree import format_conversations, read_back, with_probe
-from opsframe.llm.common import table
+from opsframe.llm.common import prepare, table
 from opsframe.llm.cotraining import SCORES, score, train
 from opsframe.llm.decontaminate import contamination
 from opsframe.llm.licences import fit, licences
@@ -43,6 +43,8 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from token files."""
     path = scratch_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
+    # Large batches repeat more of their words, which are looked up once.
+    prepare(spark, rows=4000)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_token_files(docs, path, BYTE_VOCABULARY, END_ID, parts)
     return read_documents(spark, path)
