@@ -41,9 +41,9 @@ RUN = re.compile(f"{MARK}+[^{MARK}]*")
 # Characters up to which an agenda is a plain list.
 SHORT = 40
 NEVER = float("inf")
-# Runs kept per worker, and the longest that is kept.
+# Runs kept per worker, where the caller gives no number (a hundred thousand take
+# about 30 MB), and the longest that is kept.
 KEPT_RUNS = 150_000
-KEPT_SEGMENTS = 40_000
 KEPT_CHARS = 40
 # Texts decoded and digested at once.
 AT_ONCE = 100
@@ -52,9 +52,11 @@ AT_ONCE = 100
 class Vocabulary:
     """The pieces a text can be merged to, and the bytes behind the rest."""
 
-    def __init__(self, model_path: str):
+    def __init__(self, model_path: str, room: int = KEPT_RUNS // 3):
         import sentencepiece
 
+        self.room = room
+
         self.library = sentencepiece.SentencePieceProcessor(
             model_file=model_path
         )
@@ -163,7 +165,7 @@ class Vocabulary:
             if ids is None:
                 ids = self.numbered(self.merge(segment))
                 if len(segment) <= KEPT_CHARS:
-                    if len(self.known) >= KEPT_SEGMENTS:
+                    if len(self.known) >= self.room:
                         self.known.clear()
                     self.known[segment] = ids
             found += ids
@@ -194,10 +196,10 @@ def compare(ours: list, library: list, texts: list) -> None:
 class Encoder:
     """Ids of whole texts, run by run, with runs held against the library."""
 
-    def __init__(self, words: Vocabulary):
+    def __init__(self, words: Vocabulary, kept_runs: int = KEPT_RUNS):
         self.words = words
         self.decimals = list(map(str, range(words.library.vocab_size())))
-        self.kept = Kept(self._ids, KEPT_RUNS, KEPT_CHARS)
+        self.kept = Kept(self._ids, kept_runs, KEPT_CHARS)
 
     def _ids(self, runs: list[str]) -> list[bytes]:
         """Encode runs, given without their first mark, and hold them against
@@ -239,8 +241,8 @@ class Encoder:
         return [ids[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def load_encoder(model_path: str) -> Encoder:
-    return Encoder(Vocabulary(model_path))
+def load_encoder(model_path: str, kept_runs: int = KEPT_RUNS) -> Encoder:
+    return Encoder(Vocabulary(model_path, kept_runs // 3), kept_runs)
 
 
 OUTPUT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -252,13 +254,17 @@ def piece_digests(
     keep: tuple[str, ...] = ("doc_id",),
     check: str = "texts",
     with_ids: bool = False,
+    kept_runs: int = KEPT_RUNS,
 ) -> DataFrame:
     """The ``keep`` columns, the number of ids and the digests of the ids and
     of the text the library decodes from them; with ``with_ids`` the ids and
-    the decoded text too."""
+    the decoded text too. More ``kept_runs`` trade a worker's memory for
+    time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker("piece encoder", model_path, make=load_encoder)
+        encoder = per_worker(
+            "piece encoder", model_path, kept_runs, make=load_encoder
+        )
         library = encoder.words.library
         decimal = encoder.decimals.__getitem__
         for docs in batches:

@@ -21,6 +21,9 @@ from opsframe.session import scratch_path
 
 SHARDS = 40
 END_ID = 2
+# Rows of a batch where words are looked up: the more rows, the more of their
+# words are the same and looked up once.
+LARGE_BATCH = 4000
 # Of a real corpus the key must be secret; this one makes results repeatable.
 SURROGATE_KEY = "a key for tests and demonstrations"
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,8 +46,7 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from token files."""
     path = scratch_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
-    # Large batches repeat more of their words, which are looked up once.
-    prepare(spark, rows=4000)
+    prepare(spark, rows=LARGE_BATCH)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_token_files(docs, path, BYTE_VOCABULARY, END_ID, parts)
     return read_documents(spark, path)
@@ -77,8 +79,10 @@ def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
+    docs = table(spark, sf_dir, "documents")
+    prepare(spark, rows=LARGE_BATCH)
     return piece_digests(
-        table(spark, sf_dir, "documents"), PIECE_VOCABULARY, check="runs"
+        docs, PIECE_VOCABULARY, check="runs", kept_runs=600_000
     )
 
 
