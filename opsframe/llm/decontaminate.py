@@ -5,10 +5,12 @@ windows; all windows go into one automaton, which passes over the normalised
 text of a document once. What it finds is mapped back to word numbers and to
 character offsets of the original text.
 
-The items are a table of bounded size: their words are brought to the driver
-and broadcast. Where they exceed ``BLOCK_BYTES`` they are cut into blocks and a
-batch of documents passes one automaton after the other, so memory stays
-bounded at any number of items.
+The items are a small table: their size is checked against ``ITEM_BYTES`` and
+their texts are brought to the driver and broadcast. Where they exceed
+``BLOCK_BYTES`` they are cut into blocks and a batch of documents passes one
+automaton after the other, so automata stay bounded. A benchmark beyond
+``ITEM_BYTES`` is an error and not cut short: scan its parts one by one, a
+document is clean if it is clean of each.
 
 Defined results: a null or empty text has no words and is clean; an item
 without words has no window; an item with a null id counts for hits but is not
@@ -39,6 +41,7 @@ TO_WORDS = bytes(
 )
 WINDOW = 10
 BLOCK_BYTES = 64 << 20
+ITEM_BYTES = 1 << 30
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -137,6 +140,7 @@ def contamination(
     text: str = "text",
     width: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    item_bytes: int = ITEM_BYTES,
     keep: tuple[str, ...] = ("doc_id",),
     prefix: str = "",
 ) -> DataFrame:
@@ -147,6 +151,9 @@ def contamination(
     front of the names of the columns made here.
     """
     spark = docs.sparkSession
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    if size > item_bytes:
+        raise ValueError(f"{size} bytes of items, more than {item_bytes}")
     rows = items.select(
         F.col("item_id").cast("string"), text_bytes()
     ).collect()

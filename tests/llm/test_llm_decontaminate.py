@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -96,6 +97,12 @@ def test_blocks_hold_everything():
     assert all(len(b) == 1 or sum(len(t) for _, t in b) <= 30 for b in blocks)
 
 
+def test_size_of_items_is_checked(spark):
+    items_df, docs_df, _, _ = cases(spark)
+    with pytest.raises(ValueError, match="bytes of items"):
+        contamination(docs_df, items_df, item_bytes=50)
+
+
 def test_odd_and_empty(spark):
     items_df, docs_df, _, docs = cases(spark)
     docs = odd(spark)
