@@ -11,7 +11,7 @@ import pyarrow as pa
 
 # Stretches encoded, and stretches of texts looked up, at once.
 NEW_AT_ONCE = 5_000
-BLOCK = 1 << 21
+BLOCK = 1 << 22
 
 
 class Kept:

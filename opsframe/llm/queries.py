@@ -46,7 +46,7 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from token files."""
     path = scratch_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
-    prepare(spark, rows=LARGE_BATCH)
+    prepare(spark, rows=6000)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_token_files(docs, path, BYTE_VOCABULARY, END_ID, parts)
     return read_documents(spark, path)

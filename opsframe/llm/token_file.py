@@ -38,7 +38,7 @@ from opsframe.llm.kept import Kept, per_worker
 
 SEGMENT_TOKENS = 1 << 20
 RANK_BITS = 512
-KEPT_STRETCHES = 1_000_000
+KEPT_STRETCHES = 1_300_000
 KEPT_CHARS = 60
 
 
@@ -106,7 +106,12 @@ def token_at(levels: list[dict], i: int) -> int:
 # The tokenizer never joins a character that is no white space to a space
 # behind it, so texts can be cut in front of such a space.
 CUT = re.compile(r"(?<=\S) ")
-UNCLEAR_CUT = re.compile(r"\s ")
+# A space at the start of a text or behind other white space, where that rule
+# does not cut; the white space of Python's strings, as Arrow's pattern.
+NO_CUT = (
+    r"^ |[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}] "
+)
 # Stands before the first stretch of a text; the others follow a space.
 HEAD = "\0"
 # Letters below this are letters in every version of Unicode at hand, and these
@@ -144,6 +149,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         whole = "|".join(re.escape(t.content) for t in added)
         self.whole = re.compile(f"{HEAD}|{whole}" if whole else HEAD)
+        self.special = r"\x00|" + NO_CUT + (f"|{whole}" if whole else "")
         self.model = self.tokenizer.model
         self.marks = {
             mark: array(
@@ -197,12 +203,10 @@ class Encoder:
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts and where each text begins."""
-        plain = texts.to_pylist()
-        if any(
-            x[:1] == " " or UNCLEAR_CUT.search(x) or self.whole.search(x)
-            for x in plain
-        ):
-            cut = pa.array(map(self._stretches, plain), pa.list_(pa.string()))
+        if pc.any(pc.match_substring_regex(texts, self.special)).as_py():
+            cut = pa.array(
+                map(self._stretches, texts.to_pylist()), pa.list_(pa.string())
+            )
         else:
             cut = pc.split_pattern(
                 pc.binary_join_element_wise(HEAD, texts, ""), " "
