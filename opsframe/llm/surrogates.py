@@ -91,7 +91,11 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text must hold for a look at it to be worth its while.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_TITLE}|{_FIRST})(?!\p{{L}})"
+# Every pattern above needs one of these.
+HINT = (
+    r"[0-9@]|AKIA|(?:token|passwd|password|secret|api_?key)[ ]{0,2}[=:]"
+    rf"|(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_TITLE}|{_FIRST})(?!\p{{L}})"
+)
 
 
 def luhn(digits: Column) -> Column:
