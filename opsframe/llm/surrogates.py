@@ -80,16 +80,35 @@ PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*"
     r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
     "ip": rf"(?<![\w.-])(?:{OCTET}\.){{3}}{OCTET}(?![\w-]|\.\d)",
-    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)",
     "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])"
     r"\d{3}[ .-]\d{4}(?![\w-])",
+    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)",
     "secret": r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)|(?<=(?:token|passwd|password|"
     r"secret|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_-]{8,}",
     "name": rf"(?<![\p{{L}}\d-])(?=[\p{{Lu}}г])(?:(?:{_TITLE})\.?[ ](?:{WORD})"
     rf"(?:[ ]{WORD}){{0,2}}|(?:{_FIRST})(?![\p{{L}}\d])(?:[ ]{WORD})?)",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Cards as they are commonly written, wherever in a row of numbers they begin.
+CARDS = tuple(
+    rf"(?<![\w.+-])(?=((?=[3-6]|2[2-7]){written}(?![\w-]|\.\d)))"
+    for written in (
+        r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}",
+        r"\d{4}(?:[ -]\d{4}){3}[ -]\d{1,2}",
+        r"\d{4}(?:[ -]\d{4}){3}",
+        r"\d{4}[ -]\d{6}[ -]\d{4,5}",
+    )
+)
+# What a text with a card must hold.
+CARD_HINT = r"(?<![\w.+-])\d(?:[ -]?\d){12}"
+
+
+def entity_pattern(card: str = "") -> str:
+    """The pattern of all kinds, with this one for cards or without them."""
+    tried = PATTERNS | {"card": card}
+    return "|".join(f"(?:{p})" for p in tried.values() if p)
+
+
 # What a text must hold for a look at it to be worth its while.
 # Every pattern above needs one of these.
 HINT = (
@@ -114,6 +133,40 @@ def digits_of(entity: Column) -> Column:
     return F.regexp_replace(entity, r"\D", "")
 
 
+def cards_of(text: Column) -> Column:
+    """The numbers of a text whose check sum is that of a card. A pattern can't
+    see the sum, so numbers are tried in all common groupings, and as a whole if
+    no other number is in them."""
+    other = "|".join(PATTERNS[kind] for kind in ("ssn", "phone"))
+    whole = F.filter(
+        F.regexp_extract_all(text, F.lit(PATTERNS["card"]), F.lit(0)),
+        lambda c: ~c.rlike(other),
+    )
+    written = (F.regexp_extract_all(text, F.lit(c), F.lit(1)) for c in CARDS)
+    none = F.array().cast("array<string>")
+    return F.when(
+        text.rlike(CARD_HINT),
+        F.filter(
+            F.array_distinct(F.concat(whole, *written)),
+            lambda c: luhn(digits_of(c)) % 10 == 0,
+        ),
+    ).otherwise(none)
+
+
+def by_pattern(cards: Column, use) -> Column:
+    """``use`` of the pattern for a text with these cards. The usual text has
+    none, and its pattern is the same for all rows."""
+    before, behind = entity_pattern("\0").split("\0")
+    own = F.concat(
+        F.lit(before + r"(?<![\w.+-])(?:"),
+        F.array_join(cards, "|"),
+        F.lit(r")(?![\w-]|\.\d)" + behind),
+    )
+    return F.when(F.size(cards) == 0, use(F.lit(entity_pattern()))).otherwise(
+        use(own)
+    )
+
+
 def kind_of(entity: Column) -> Column:
     """Kind of a detected string; null for a number that is no card."""
     is_a = lambda kind: entity.rlike(f"^(?:{PATTERNS[kind]})$")
@@ -464,10 +517,15 @@ def replace_entities(
     first = F.create_map(*(F.lit(x) for pair in cycle.items() for x in pair))
     text = F.col("text")
     found = F.when(
-        text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+        text.rlike(HINT),
+        by_pattern(
+            F.col("_cards"), lambda p: F.regexp_extract_all(text, p, F.lit(0))
+        ),
     ).otherwise(F.array().cast("array<string>"))
 
-    entities = docs.select(F.explode(found).alias("entity"))
+    entities = docs.select("text", cards_of(text).alias("_cards")).select(
+        F.explode(found).alias("entity")
+    )
     units = (
         entities.distinct()
         .select(F.inline(_units(F.col("entity"))))
@@ -485,6 +543,7 @@ def replace_entities(
         )
         concerned = stored(
             docs.where(text.rlike(HINT))
+            .select("text", cards_of(text).alias("_cards"))
             .select(
                 F.sha2(text, 256).alias("_digest"), F.explode(found).alias("e")
             )
@@ -531,7 +590,7 @@ def replace_entities(
         )
         return F.array_join(made, " ")
 
-    rows = rows.withColumn(
+    rows = rows.withColumn("_cards", cards_of(text)).withColumn(
         "_found",
         F.transform(
             found,
@@ -542,7 +601,7 @@ def replace_entities(
     kinds = F.filter("_found.kind", lambda k: k.isNotNull())
     joined = F.array_join(
         F.zip_with(
-            F.split(text, ENTITY, -1),
+            by_pattern(F.col("_cards"), lambda p: F.split(text, p, -1)),
             F.transform("_found", replaced),
             lambda piece, made: F.concat(piece, F.coalesce(made, F.lit(""))),
         ),

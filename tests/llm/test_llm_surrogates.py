@@ -149,3 +149,27 @@ def test_a_text_with_nothing_else_is_searched(spark):
         before, entity = ALONE[row.doc_id]
         assert row.n_replaced == 1, entity
         assert row.text.startswith(before) and entity not in row.text
+
+
+NUMBERS = {
+    "123-45-6789 987-65-4322": "ssn ssn",
+    "555-123-4567 2025": "phone",
+    "555 123 4567 555 987 6543": "phone phone",
+    "1 555 123 4567 2025": "phone",
+    "12345 555 123 4567 555 987 6543": "phone phone",
+    "4845 1681 1440 7329 123": "card",
+    "77 4845 1681 1440 7329": "card",
+    "4845-1681-1440-7329 555-123-4567": "card phone",
+    "4845168114407329 4845168114407328": "card",
+}
+
+
+def test_rows_of_numbers(spark):
+    docs = spark.createDataFrame(list(enumerate(NUMBERS)), "doc_id long, text string")
+    for row in replace_entities(docs, "key").collect():
+        before, kinds = list(NUMBERS.items())[row.doc_id]
+        assert row.n_replaced == len(kinds.split()), before
+        assert row.kinds == sorted(set(kinds.split())), before
+        assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", before)
+        for part in re.findall(r"\d{3}[ -]\d{3}[ -]\d{4}|\d{3}-\d\d-\d{4}|4845.1681", before):
+            assert part not in row.text, before
