@@ -6,7 +6,8 @@ the probability of each licence family and of none of them. It is trained on
 variations of the templates below and, for the unknown class, on mixtures of
 their words and on paragraphs of a bounded sample of documents; its confidence
 is calibrated on variations held back from training. A predicted family counts
-only if the paragraph also compares with a template of that family.
+only if the paragraph also compares with a template of that family. What lies before
+and behind a notice in a paragraph is classified again, for further notices.
 
 Only words and pairs known from training have a weight, so a paragraph without
 a known pair is unknown without further work.
@@ -146,6 +147,8 @@ STRIDE = 24
 SAMPLE_DOCS = 300
 SAMPLE_PARAGRAPHS = 3000
 CONFIRM = 0.6
+# Words between two pairs of one notice.
+NEAR = 4
 
 TO_WORDS = bytes(
     i + 32 if 0x41 <= i <= 0x5A
@@ -338,6 +341,70 @@ def windows(n: int) -> Iterator[tuple[int, int]]:
         yield start, min(start + WINDOW, n)
 
 
+def confirmed(part: list[bytes], model: Model) -> tuple | None:
+    """The likeliest family, of those likelier than none of them, that compares
+    with a template; with its probability and similarity."""
+    slots, values = features(part, model.words, model.pairs)
+    if not len(slots) or slots[-1] < len(model.words):
+        return None
+    logit = values @ model.weights[slots] + model.weights[-1]
+    p = softmax(logit / model.temperature)
+    for label in np.argsort(-p, kind="stable"):
+        if label == len(FAMILIES):
+            return None
+        alike = similarity(part, FAMILIES[label])
+        if alike >= CONFIRM:
+            return FAMILIES[label], float(p[label]), alike
+    return None
+
+
+def shared_words(part: list[bytes], family: str) -> list[int]:
+    """Places of the pairs that a paragraph shares with the nearest template,
+    where most of them lie close together."""
+    places: list[int] = []
+    for template in TEMPLATES[family]:
+        other = set(pairs_of(words_of(template.encode())))
+        own = [k for k, pair in enumerate(pairs_of(part)) if pair in other]
+        cuts = [k for k in range(1, len(own)) if own[k] - own[k - 1] > NEAR]
+        for one, other in zip([0, *cuts], [*cuts, len(own)]):
+            places = max(places, own[one:other], key=len)
+    return places
+
+
+def notices(words: list[bytes], a: int, b: int, model: Model) -> list[tuple]:
+    """Ranges of words with a confirmed family, probability and similarity. What
+    lies before and behind a notice is looked at again, behind it also as if it
+    began with the same verb ('licensed under one or the other')."""
+    found: list[tuple] = []
+    waiting: list[tuple] = [(a, b, [])]
+    seen = set()
+    while waiting:
+        start, end, lead = waiting.pop()
+        if (start, end, *lead) in seen:
+            continue
+        seen.add((start, end, *lead))
+        hit = confirmed(lead + words[start:end], model)
+        if hit is None:
+            continue
+        places = shared_words(lead + words[start:end], hit[0])
+        own = [start + k - len(lead) for k in places if k >= len(lead)]
+        # The rest of a notice isn't another one.
+        if not own or found and len(own) < (1 if lead else 2):
+            continue
+        first, behind = own[0], own[-1] + 2
+        found.append((first, behind, *hit))
+        waiting.append((start, first, []))
+        waiting.append((behind, end, []))
+        verb = lead or words[first : first + 2]
+        if verb[1:] == [b"under"]:
+            while behind < end and words[behind] in (b"or", b"and"):
+                behind += 1
+            waiting.append((behind, end, verb))
+    if len({x[2] for x in found}) == 1:  # the passage is the whole paragraph
+        return [(a, b, *found[0][2:])]
+    return sorted(found, key=lambda x: x[:2])
+
+
 def scan(data: bytes, model: Model) -> list[dict]:
     """Passages of a text with a confirmed family: byte range, family,
     probability and similarity. Overlapping passages of one family are one."""
@@ -347,41 +414,28 @@ def scan(data: bytes, model: Model) -> list[dict]:
         words = words_of(line)
         ids = list(map(model.words.get, words))
         if any(map(model.pairs.__contains__, zip(ids, ids[1:]))):
-            places = None
+            places = [m.span() for m in WORD.finditer(line.translate(TO_WORDS))]
             for a, b in windows(len(words)):
-                part = words[a:b]
-                slots, values = features(part, model.words, model.pairs)
-                if not len(slots) or slots[-1] < len(model.words):
-                    continue
-                logit = values @ model.weights[slots] + model.weights[-1]
-                p = softmax(logit / model.temperature)
-                label = int(p.argmax())
-                if label == len(FAMILIES):
-                    continue
-                family = FAMILIES[label]
-                alike = similarity(part, family)
-                if alike < CONFIRM:
-                    continue
-                if places is None:
-                    places = [
-                        m.span() for m in WORD.finditer(line.translate(TO_WORDS))
-                    ]
-                start, end = at + places[a][0], at + places[b - 1][1]
-                last = found[-1] if found else None
-                if last and last["family"] == family and start <= last["end"]:
-                    last["end"] = end
-                    last["probability"] = max(last["probability"], float(p[label]))
-                    last["similarity"] = max(last["similarity"], alike)
-                else:
-                    found.append(
-                        {
-                            "start": start,
-                            "end": end,
-                            "family": family,
-                            "probability": float(p[label]),
-                            "similarity": alike,
-                        }
+                for i, j, family, sure, alike in notices(words, a, b, model):
+                    start, end = at + places[i][0], at + places[j - 1][1]
+                    last = next(
+                        (x for x in reversed(found) if x["family"] == family), None
                     )
+                    if last and start <= last["end"]:
+                        last["start"] = min(last["start"], start)
+                        last["end"] = max(last["end"], end)
+                        last["probability"] = max(last["probability"], sure)
+                        last["similarity"] = max(last["similarity"], alike)
+                    else:
+                        found.append(
+                            {
+                                "start": start,
+                                "end": end,
+                                "family": family,
+                                "probability": sure,
+                                "similarity": alike,
+                            }
+                        )
         at += len(line) + 1
     return found
 

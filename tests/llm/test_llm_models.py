@@ -138,3 +138,15 @@ def test_licences_of_odd_rows(spark, licence_model):
     assert len(found) == len(odd_rows())
     assert all(r["families"] == [] for r in found)
     assert licences(none(spark), fit_licences(none(spark))).count() == 0
+
+
+def test_two_notices_on_one_line(licence_model):
+    for text, families in (
+        ("Licensed under either of Apache License, Version 2.0 or the MIT License", "apache mit"),
+        ("Code is released under the MIT License, text is licensed under CC BY 4.0", "mit cc-by"),
+        ("Licensed under the MIT License or the Mozilla Public License 2.0 at your option.", "mit mpl"),
+        ("Licensed under CC BY-NC 4.0", "cc-by-nc"),
+    ):
+        for line in (text, f"{words(5, 200)} {text} {words(6, 200)}"):
+            found = {h["family"] for h in scan(line.encode(), licence_model)}
+            assert found == set(families.split()), line
