@@ -10,6 +10,7 @@ from opsframe.llm.common import prepare, table
 from opsframe.llm.cotraining import SCORES, score, train
 from opsframe.llm.decontaminate import contamination
 from opsframe.llm.licences import fit, licences
+from opsframe.llm.merkle import manifest
 from opsframe.llm.oracles import ORACLES
 from opsframe.llm.piece_encoding import piece_digests
 from opsframe.llm.quality_rules import quality_rules
@@ -98,6 +99,14 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "text", "n_replaced", "kinds")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root, proof and tamper check of every document."""
+    return manifest(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        "verified",
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
@@ -109,6 +118,7 @@ QUERIES = {
     "op8_piece_encoding": op8_piece_encoding,
     "op9_quality_rules": op9_quality_rules,
     "op10_surrogates": op10_surrogates,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
