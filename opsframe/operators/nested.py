@@ -223,9 +223,15 @@ def _expand(node: Column, lists: str) -> Column:
 
 def variant_depth(df: DataFrame, column: str) -> int:
     """How deep brackets are nested in the VARIANT values of a column: one
-    aggregate over it, of which a single number comes to the driver."""
+    aggregate over it, of which a single number comes to the driver.
+
+    Strings are cut out of the JSON text without recursion: first every
+    escaped character, then every run between two quotes. Neither pattern
+    repeats a group, so a string of any length costs one linear scan.
+    """
     text = F.to_json(column)
-    outside = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', "")
+    unescaped = F.regexp_replace(text, r"(?s)\\.", "")
+    outside = F.regexp_replace(unescaped, r'"[^"]*"', "")
     brackets = F.split(F.regexp_replace(outside, r"[^\[\]{}]", ""), "")
     state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
@@ -242,6 +248,109 @@ def variant_depth(df: DataFrame, column: str) -> int:
     return df.agg(F.max(deepest)).first()[0] or 0
 
 
+# Columns of the row walk; the caller's columns keep their own names.
+_P, _V, _J = "__walk_path", "__walk_open", "__walk_json"
+
+
+def _exploded(rows: DataFrame, value: Column, tag: str) -> DataFrame:
+    """``rows`` laterally joined with the entries or items of ``value``: one
+    row per entry (key set) or item (key NULL), one row of NULLs for a scalar,
+    an empty container or a NULL."""
+    found = rows.sparkSession.tvf.variant_explode_outer(value.outer())
+    return rows.lateralJoin(found.toDF(f"{tag}pos", f"{tag}key", f"{tag}val"))
+
+
+def _below(path: Column, key: Column) -> Column:
+    return F.concat(path, F.lit("."), key)
+
+
+def _walk_level(rows: DataFrame, kept: list[str], lists: str) -> DataFrame:
+    """One level of the frontier: every open node is exploded once; closed
+    nodes pass through a NULL and stay as they are."""
+    first = _exploded(rows, F.col(_V), "__a_")
+    pos, key, child = F.col("__a_pos"), F.col("__a_key"), F.col("__a_val")
+    is_open = F.col(_V).isNotNull()
+    is_list = is_open & pos.isNotNull() & key.isNull()
+    items = first.withColumn(
+        "__item", F.when(is_list & F.lit(lists != "leaf"), child)
+    )
+    second = _exploded(items, F.col("__item"), "__b_")
+    pos2, key2, grandchild = (
+        F.col("__b_pos"), F.col("__b_key"), F.col("__b_val")
+    )
+    path, value = F.col(_P), F.col(_V)
+    shown = F.to_json(value) if lists == "whole" else F.to_json(child)
+    lone = F.to_json(value)
+    item = F.to_json(child)
+    # (keep, path, open value, closed JSON) in the order the cases are tried.
+    cases = [
+        (~is_open, path, F.lit(None), F.col(_J)),
+        (key.isNotNull(), _below(path, key), child, F.lit(None)),
+        (
+            is_list & F.lit(lists == "leaf") & (pos == 0),
+            path, F.lit(None), lone,
+        ),
+        (is_list & F.lit(lists == "leaf"), None, None, None),
+        (is_list & key2.isNotNull(), _below(path, key2), grandchild, F.lit(None)),
+        (is_list & pos2.isNotNull() & (pos2 == 0), path, F.lit(None), shown),
+        (is_list & pos2.isNotNull(), None, None, None),
+        (is_list & (item == "{}"), None, None, None),
+        (is_list, path, F.lit(None), shown),
+        (lone == "{}", None, None, None),
+        (lone == "[]", *(
+            (path, F.lit(None), lone) if lists == "leaf" else (None,) * 3
+        )),
+        (F.lit(True), path, F.lit(None), lone),
+    ]
+
+    def pick(at: int) -> Column:
+        out = None
+        for case in cases:
+            got = F.lit(None) if case[at] is None else case[at]
+            out = F.when(case[0], got) if out is None else out.when(case[0], got)
+        return out
+
+    keep = pick(1).isNotNull()
+    return second.where(keep).select(
+        *kept,
+        pick(1).alias(_P),
+        pick(2).cast("variant").alias(_V),
+        pick(3).cast("string").alias(_J),
+    )
+
+
+def _variant_rows(
+    df: DataFrame, column: str, kept: list[str], lists: str, depth: int
+) -> DataFrame:
+    """``(kept..., path, value)`` for every leaf, walked as rows.
+
+    The frontier is a set of rows: the entries of the record first, then at
+    each level the entries or items of open nodes only, by the lateral
+    ``variant_explode_outer``. Items of a list are looked into at the same
+    level, so that a dict in a list opens its entries under the list's path
+    and anything else closes. All levels stay in one stage; nothing is
+    shuffled. A node still open after ``depth`` levels fails the query.
+    """
+    top = _exploded(df.select(*kept, F.col(column).alias("__rec")),
+                    F.col("__rec"), "__t_")
+    rows = top.where(F.col("__t_key").isNotNull()).select(
+        *kept,
+        F.col("__t_key").alias(_P),
+        F.col("__t_val").alias(_V),
+        F.lit(None).cast("string").alias(_J),
+    )
+    for _ in range(depth):
+        rows = _walk_level(rows, kept, lists)
+    deeper = F.raise_error(
+        F.lit(f"dicts are nested deeper than max_depth={depth}")
+    ).cast("string")
+    return rows.select(
+        *kept,
+        F.col(_P).alias("path"),
+        F.when(F.col(_V).isNull(), F.col(_J)).otherwise(deeper).alias("value"),
+    )
+
+
 def _next_level(found: Column, lists: str) -> Column:
     return F.flatten(F.transform(found, lambda node: _expand(node, lists)))
 
@@ -351,6 +460,11 @@ def node_map(
     """One row ``(keys..., path, value)`` per leaf of the nested record; see
     ``nodes`` for the options."""
     kept = [c for c in df.columns if c != column] if keys is None else keys
+    dtype = df.select(F.col(column)).schema[0].dataType
+    if isinstance(dtype, T.VariantType):
+        _check(lists, nulls)
+        depth = variant_depth(df, column) if max_depth is None else max_depth
+        return _variant_rows(df, column, kept, lists, depth)
     walked = _with_nodes(
         df.select(*dict.fromkeys([*kept, column])),
         column,

@@ -80,7 +80,7 @@ def _node_map(spark, sf_dir):
 def _node_map_variant(spark, sf_dir):
     text = _records(spark, sf_dir).withColumn("record", F.to_json("record"))
     parsed = text.withColumn("record", F.parse_json("record"))
-    return node_map(parsed, "record", KEYS, max_depth=3)
+    return node_map(parsed, "record", KEYS)
 
 
 @query(

@@ -256,3 +256,31 @@ def test_records_of_any_depth(spark):
     assert len(leaf_paths(df, "r").first().paths) == 31
     row = find_paths(df, "r", [".".join(["k"] * 30)], ["deep"]).first()
     assert row.deep == "7"
+
+
+@pytest.mark.parametrize("lists", ["whole", "element", "leaf"])
+def test_long_strings_without_max_depth(spark, lists):
+    long = 'a"\\\\' * 250_000 + "]}" * 1000
+    record = {"s": long, "t": {"u": [long, {"v": long}], "w": []}, "x": "\\"}
+    df = variants(spark, [record, {"a": [[long]]}])
+    rows = node_map(df, "record", lists=lists).collect()
+    got = by_id(rows, 2)
+    assert normal(got[0]) == normal(leaves(record, lists))
+    assert normal(got[1]) == normal(leaves({"a": [[long]]}, lists))
+    paths = leaf_paths(df, "record").orderBy("id").collect()
+    assert sorted(paths[0].paths) == sorted(p for p, _ in leaves(record, "leaf"))
+    found = find_paths(df, "record", ["t.u.v", "x"]).orderBy("id").first()
+    assert json.loads(found.t_u_v) == long and json.loads(found.x) == "\\"
+
+
+def test_depth_of_escaped_quotes(spark):
+    from opsframe.operators.nested import variant_depth
+
+    record = {"a": {"b": ['\\"{[' * 100_000, {"c": "\\\\"}]}}
+    assert variant_depth(variants(spark, [record]), "record") == 4
+
+
+def test_variant_walk_is_one_stage(spark, plan_of):
+    plan = plan_of(node_map(variants(spark, [EXAMPLE]), "record"))
+    assert "Generate" in plan and "Exchange" not in plan
+    assert "lambdafunction" not in plan.lower()
