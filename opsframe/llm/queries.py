@@ -18,6 +18,7 @@ from opsframe.llm.sharding import shard_rows
 from opsframe.llm.simhash import near_duplicates
 from opsframe.llm.surrogates import replace_entities
 from opsframe.llm.token_file import read_documents, write_token_files
+from opsframe.llm.whitening import whiten
 from opsframe.session import scratch_path
 
 SHARDS = 40
@@ -107,6 +108,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every clean embedding whitened on its 32 leading components."""
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
@@ -119,6 +125,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_surrogates": op10_surrogates,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_whitening": op13_whitening,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
