@@ -19,6 +19,7 @@ from opsframe.llm.simhash import near_duplicates
 from opsframe.llm.surrogates import replace_entities
 from opsframe.llm.token_file import read_documents, write_token_files
 from opsframe.llm.whitening import whiten
+from opsframe.llm.word_bpe import bpe_digests
 from opsframe.session import scratch_path
 
 SHARDS = 40
@@ -30,6 +31,7 @@ LARGE_BATCH = 4000
 SURROGATE_KEY = "a key for tests and demonstrations"
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +110,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document under a word-level BPE."""
+    docs = table(spark, sf_dir, "documents")
+    prepare(spark, rows=LARGE_BATCH)
+    return bpe_digests(docs, WORD_VOCABULARY)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every clean embedding whitened on its 32 leading components."""
     return whiten(table(spark, sf_dir, "embeddings"))
@@ -125,6 +134,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_surrogates": op10_surrogates,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_word_bpe": op12_word_bpe,
     "op13_whitening": op13_whitening,
 }
 
