@@ -248,15 +248,38 @@ def _upsert_by_either(
     wanted = _distinct(
         updates.filter(by_other & F.col(other).isNotNull()), [other]
     )
-    known = (
+    # The other key of every row as the keyed updates of this batch leave it:
+    # a row whose other key they change loses the old value and has the new
+    # one, and a row they insert is found by the value they give it.
+    changed = (
+        updates.filter(
+            F.col(key).isNotNull() & (F.col("property") == F.lit(other))
+        )
+        .groupBy(key)
+        .agg(F.max_by("value", F.struct(*order)).alias("_now"))
+    )
+    kept = (
         target.filter(F.col(key).isNotNull())
         .join(wanted, other, "left_semi")
-        .groupBy(other)
+        .join(changed, key, "left_anti")
+        .select(F.col(other).cast("string").alias("_other"), key)
+    )
+    given = changed.filter(F.col("_now").isNotNull()).select(
+        F.col("_now").alias("_other"), key
+    )
+    known = (
+        kept.unionByName(given)
+        .join(
+            wanted.select(F.col(other).cast("string").alias("_other")),
+            "_other",
+            "left_semi",
+        )
+        .groupBy(F.col("_other").alias(other))
         .agg(F.min(key).alias("_known"))
     )
     located = updates.join(
         known.withColumnRenamed(other, "_other"),
-        by_other & (F.col(other) == F.col("_other")),
+        by_other & (F.col(other).cast("string") == F.col("_other")),
         "left",
     ).withColumn(key, F.coalesce(key, "_known"))
     nameless = F.raise_error(F.lit(f"update without {key} and {other}"))

@@ -326,3 +326,29 @@ def test_small_updates_do_not_shuffle_the_target(spark, tmp_path):
         for part in final.split("ShuffleQueryStage")[1:]:
             # Only the updates, and keys already joined with them, move.
             assert "200000" not in part.split("\n")[0]
+
+
+def test_upsert_by_email_finds_keys_of_the_same_batch(spark, contacts):
+    """A contact inserted with an email and an update for that email in one
+    batch give one contact; an email a keyed update moves away is free."""
+    changes = spark.createDataFrame(
+        [
+            (9, None, 1, "email", "e@f"),
+            (None, "e@f", 2, "name", "Eve"),
+            (1, None, 1, "email", "z@x"),
+            (None, "a@x", 2, "name", "Other"),
+            (None, "z@x", 3, "age", "11"),
+        ],
+        "vid long, email string, seq int, property string, value string",
+    )
+    got = upsert(contacts, changes, "vid", "seq", other_key="email")
+    assert rows(got) == sorted(
+        [
+            (1, "z@x", "Ann", 11),
+            (2, "b@x", "Bob", None),
+            (3, None, "Cy", 30),
+            (9, "e@f", "Eve", None),
+            (None, "a@x", "Other", None),
+        ],
+        key=str,
+    )
