@@ -149,7 +149,9 @@ def incremental_pull(
     The cutoff is inclusive, so the rows on it come back with every pull;
     ``seen`` holds the key and time of the rows already taken. A row that was
     taken and has changed since has a later time and comes back. ``latest``
-    keeps only the last row of each key.
+    keeps only the last row of each key; of rows tied on the last time the one
+    with the largest hash of all its columns, so that every pull picks the
+    same. A NULL key names no row: such rows are all kept.
     """
     fresh = since(df, column, after)
     if seen is not None:
@@ -158,10 +160,13 @@ def incremental_pull(
         taken = [key, column]
         fresh = fresh.join(seen.select(*taken), taken, "left_anti")
     if latest:
-        row = F.struct(*[f"`{c}`" for c in df.columns])
-        fresh = fresh.groupBy(F.col(key).alias("_key")).agg(
-            F.max_by(row, F.col(column)).alias("_row")
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        order = F.struct(F.col(column), F.xxhash64(*columns))
+        named = fresh.filter(F.col(key).isNotNull())
+        last = named.groupBy(F.col(key).alias("_key")).agg(
+            F.max_by(F.struct(*columns), order).alias("_row")
         ).select("_row.*")
+        fresh = last.unionByName(fresh.filter(F.col(key).isNull()))
     return fresh
 
 

@@ -162,6 +162,40 @@ def _incremental_pull(spark, sf_dir):
     ).select("o_orderkey", "o_orderdate")
 
 
+@query(
+    "incremental_pull_latest",
+    """
+    WITH calls AS (
+      SELECT event_id, ts, event_type,
+             CASE WHEN event_type <> 'signup' THEN user_id END AS user_id
+      FROM events
+    ), fresh AS (
+      SELECT * FROM calls WHERE ts >= TIMESTAMP '2024-01-15'
+    )
+    SELECT event_id, user_id, ts, event_type FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r
+      FROM fresh WHERE user_id IS NOT NULL
+    ) WHERE r = 1
+    UNION ALL
+    SELECT event_id, user_id, ts, event_type FROM fresh WHERE user_id IS NULL
+    """,
+)
+def _incremental_pull_latest(spark, sf_dir):
+    # Sign-ups are calls before a user exists: their key is NULL, and every
+    # one of them comes back.
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        "ts",
+        "event_type",
+        F.when(F.col("event_type") != "signup", F.col("user_id")).alias(
+            "user_id"
+        ),
+    )
+    return incremental_pull(
+        events, "ts", date(2024, 1, 15), "user_id", latest=True
+    ).select("event_id", "user_id", "ts", "event_type")
+
+
 @query(
     "date_range",
     """

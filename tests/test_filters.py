@@ -201,3 +201,27 @@ def test_date_filters_reach_the_scan(tables, plan_of):
     assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in plan
     assert "LessThan(ts,2024-01-06T00:00)" in plan
     assert "EqualTo(event_type,view)" in plan
+
+
+def test_latest_keeps_every_row_without_a_key_and_breaks_ties_alike(spark):
+    from datetime import datetime
+
+    rows = [
+        (1, datetime(2024, 1, 2), "a"),
+        (1, datetime(2024, 1, 2), "b"),
+        (1, datetime(2024, 1, 1), "c"),
+        (None, datetime(2024, 1, 3), "x"),
+        (None, datetime(2024, 1, 3), "y"),
+        (None, datetime(2024, 1, 1), "z"),
+        (2, datetime(2023, 1, 1), "old"),
+    ]
+    schema = "id int, at timestamp, v string"
+    picks = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        got = incremental_pull(df, "at", date(2024, 1, 1), "id", latest=True)
+        got = sorted(got.collect(), key=str)
+        assert sorted(r.v for r in got if r.id is None) == ["x", "y", "z"]
+        picks.add(tuple(r.v for r in got if r.id == 1))
+        assert [r.id for r in got].count(1) == 1 and 2 not in [r.id for r in got]
+    assert len(picks) == 1 and picks.pop()[0] in ("a", "b")
