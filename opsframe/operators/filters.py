@@ -181,6 +181,13 @@ def date_range(
     )
 
 
+def until(df: DataFrame, column: str, end: date) -> DataFrame:
+    """Rows through the end date, included; the last date has no bound."""
+    if end >= date.max:
+        return df.filter(F.col(column).isNotNull())
+    return df.filter(_compare(df, column, "LT", end + timedelta(days=1)))
+
+
 def optional_filters(df: DataFrame, **wanted: Any) -> DataFrame:
     """Equality filters; an argument that is None or empty text adds none.
 

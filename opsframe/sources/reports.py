@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.operators.columns import normalise_columns
-from opsframe.operators.filters import date_range
+from opsframe.operators.filters import since, until
 
 # The report types that exist.
 REPORT_TYPES = [
@@ -66,8 +66,10 @@ def read_report_csv(
     if app_id is not None:
         apps = [app_id] if isinstance(app_id, str) else list(app_id)
         report = report.filter(F.col("app_id").isin(apps))
-    if start is not None or end is not None:
-        report = date_range(
-            report, time_column, start or date.min, end or date(9998, 12, 31)
-        )
+    # An open end has no bound at all, so a sentinel date such as
+    # 9999-12-31 is kept.
+    if start is not None:
+        report = since(report, time_column, start)
+    if end is not None:
+        report = until(report, time_column, end)
     return report

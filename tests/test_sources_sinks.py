@@ -378,3 +378,24 @@ def test_gzip_lines(spark, tmp_path):
     texts = [gzip.open(f, "rt").read() for f in path.glob("*.gz")]
     ids = sorted(json.loads(x)["id"] for t in texts for x in t.splitlines())
     assert ids == [0, 1, 2]
+
+
+def test_reports_with_an_open_end_keep_sentinel_dates(spark, tmp_path):
+    folder = tmp_path / "app_id=one" / "report_type=installs_report"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text(
+        "Event Time,Media Source\n2024-01-01 10:00:00,a\n"
+        "9999-12-31 23:59:59,never\n2023-12-31 23:59:59,before\n"
+    )
+    schema = "`Event Time` timestamp_ntz, `Media Source` string"
+
+    def sources(**bounds):
+        df = read_report_csv(
+            spark, str(tmp_path), "installs_report", schema=schema, **bounds
+        )
+        return sorted(r.media_source for r in df.collect())
+
+    assert sources(start=date(2024, 1, 1)) == ["a", "never"]
+    assert sources(start=date(2024, 1, 1), end=date.max) == ["a", "never"]
+    assert sources(end=date(2024, 1, 1)) == ["a", "before"]
+    assert sources() == ["a", "before", "never"]
