@@ -243,7 +243,10 @@ DIGITS = "0123456789"
 
 
 def like_chars(draw: Draw, text: Column, hexadecimal: Column, salt: str) -> Column:
-    """Each letter and digit exchanged for one of its sort."""
+    """Each letter and digit exchanged for one of its sort. A text without
+    either (``________``) has every character but white space exchanged for a
+    letter: kept as it is, it would be drawn as itself at every attempt."""
+    plain = ~text.rlike("[A-Za-z0-9]")
 
     def one(c: Column, i: Column) -> Column:
         lower = F.when(
@@ -253,6 +256,7 @@ def like_chars(draw: Draw, text: Column, hexadecimal: Column, salt: str) -> Colu
             F.when(c.rlike("[a-z]"), lower)
             .when(c.rlike("[A-Z]"), F.upper(lower))
             .when(c.rlike("[0-9]"), draw.letter(DIGITS, F.lit(salt), i))
+            .when(plain & ~c.rlike("\\s"), lower)
             .otherwise(c)
         )
 

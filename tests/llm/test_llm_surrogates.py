@@ -173,3 +173,14 @@ def test_rows_of_numbers(spark):
         assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", before)
         for part in re.findall(r"\d{3}[ -]\d{3}[ -]\d{4}|\d{3}-\d\d-\d{4}|4845.1681", before):
             assert part not in row.text, before
+
+
+def test_secrets_without_letters_or_digits_end(spark):
+    """A secret of marks only is drawn as letters, so the draw ends."""
+    texts = ["password: ________", "password: ________ and api_key=-_/+-_/+"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows_of(replace_entities(docs, "key"))}
+    for i, text in enumerate(texts):
+        assert len(got[i]["text"]) == len(text)
+        assert "________" not in got[i]["text"] and "-_/+" not in got[i]["text"]
+        assert got[i]["n_replaced"] == i + 1
