@@ -117,8 +117,132 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
+
+def _field(name: str) -> str:
+    """A field as the leaf hashes it: '-' for NULL, else byte count, ':' and
+    the value as text."""
+    text = f"CAST({name} AS VARCHAR)"
+    return (
+        f"CASE WHEN {name} IS NULL THEN '-' "
+        f"ELSE CAST(strlen({text}) AS VARCHAR) || ':' || {text} END"
+    )
+
+
+# CRC-32 by its table, built from the reversed polynomial 0xEDB88320
+# (3988292384) by eight shifts of every byte; levels of the trees by a
+# recursive grouping of consecutive pairs.
+MERKLE = """WITH RECURSIVE
+bits(n, k, c) AS (
+    SELECT n, 0, n FROM range(256) AS t(n)
+    UNION ALL
+    SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END
+    FROM bits WHERE k < 8
+),
+crc_table AS (SELECT n, c FROM bits WHERE k = 8),
+ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),
+crc_steps(s, i, c) AS (
+    SELECT s, 0, 4294967295 FROM ids
+    UNION ALL
+    SELECT x.s, x.i + 1,
+        xor((SELECT t.c FROM crc_table t
+             WHERE t.n = xor(x.c, ascii(substr(x.s, x.i + 1, 1))) & 255), x.c >> 8)
+    FROM crc_steps x WHERE x.i < length(x.s)
+),
+crcs AS (SELECT s, xor(c, 4294967295) AS crc FROM crc_steps WHERE i = length(s)),
+fields AS (
+    SELECT d.doc_id, d.lang, d.source, d.text, d.n_chars,
+        CASE WHEN d.n_chars IS NOT NULL AND c.crc % 7 = 0
+             THEN d.n_chars + 1 ELSE d.n_chars END AS t_chars
+    FROM documents d LEFT JOIN crcs c ON c.s = CAST(d.doc_id AS VARCHAR)
+),
+leaves AS (
+    SELECT doc_id, lang,
+        sha256(concat_ws('', {id}, {source}, {lang}, {chars}, {text})) AS leaf,
+        sha256(concat_ws('', {id}, {source}, {lang}, {tchars}, {text})) AS tleaf
+    FROM fields
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+        count(*) OVER (PARTITION BY lang) AS m
+    FROM leaves
+),
+lt(lang, lvl, idx, h, cnt) AS (
+    SELECT lang, 0, r, leaf, m FROM ranked
+    UNION ALL
+    SELECT lang, lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (cnt + 1) // 2
+    FROM lt WHERE cnt > 1 GROUP BY lang, lvl, idx // 2, cnt
+),
+subroots AS (SELECT lang, h AS subroot FROM lt WHERE cnt = 1),
+groups AS (
+    SELECT lang, subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+        count(*) OVER () AS k
+    FROM subroots
+),
+gt(lvl, idx, h, cnt) AS (
+    SELECT 0, g, subroot, k FROM groups
+    UNION ALL
+    SELECT lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (cnt + 1) // 2
+    FROM gt WHERE cnt > 1 GROUP BY lvl, idx // 2, cnt
+),
+root AS (SELECT h AS root FROM gt WHERE cnt = 1),
+depth AS (SELECT lang, max(lvl) AS d FROM lt GROUP BY lang),
+steps AS (
+    SELECT x.doc_id, x.leaf, l.lvl AS step, s.h AS sib, (x.r >> l.lvl) % 2 = 0 AS left_side
+    FROM ranked x
+    JOIN lt l ON l.lang IS NOT DISTINCT FROM x.lang AND l.cnt > 1 AND l.idx = x.r >> l.lvl
+    LEFT JOIN lt s ON s.lang IS NOT DISTINCT FROM x.lang AND s.lvl = l.lvl
+        AND s.idx = xor(x.r >> l.lvl, 1)
+    UNION ALL
+    SELECT x.doc_id, x.leaf, dp.d + l.lvl AS step, s.h, (gr.g >> l.lvl) % 2 = 0
+    FROM ranked x
+    JOIN groups gr ON gr.lang IS NOT DISTINCT FROM x.lang
+    JOIN depth dp ON dp.lang IS NOT DISTINCT FROM x.lang
+    JOIN gt l ON l.cnt > 1 AND l.idx = gr.g >> l.lvl
+    LEFT JOIN gt s ON s.lvl = l.lvl AND s.idx = xor(gr.g >> l.lvl, 1)
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, leaf ORDER BY step) AS k FROM steps
+),
+folded(doc_id, leaf, k, acc) AS (
+    SELECT doc_id, leaf, 0, tleaf FROM ranked
+    UNION ALL
+    SELECT f.doc_id, f.leaf, f.k + 1,
+        CASE WHEN n.sib IS NULL THEN sha256(f.acc)
+             WHEN n.left_side THEN sha256(f.acc || n.sib)
+             ELSE sha256(n.sib || f.acc) END
+    FROM folded f JOIN numbered n
+        ON n.doc_id IS NOT DISTINCT FROM f.doc_id AND n.leaf = f.leaf AND n.k = f.k + 1
+),
+last AS (
+    SELECT doc_id, leaf, arg_max(acc, k) AS folded_root FROM folded GROUP BY doc_id, leaf
+),
+proofs AS (
+    SELECT x.doc_id, x.leaf,
+        sha256(coalesce(string_agg(n.sib, '' ORDER BY n.k), '')) AS proof_sha256
+    FROM ranked x LEFT JOIN numbered n
+        ON n.doc_id IS NOT DISTINCT FROM x.doc_id AND n.leaf = x.leaf
+    GROUP BY x.doc_id, x.leaf
+)
+SELECT x.doc_id, x.leaf, s.subroot, r.root, p.proof_sha256, l.folded_root,
+    l.folded_root = r.root AS verified
+FROM ranked x
+JOIN subroots s ON s.lang IS NOT DISTINCT FROM x.lang
+CROSS JOIN root r
+JOIN proofs p ON p.doc_id IS NOT DISTINCT FROM x.doc_id AND p.leaf = x.leaf
+JOIN last l ON l.doc_id IS NOT DISTINCT FROM x.doc_id AND l.leaf = x.leaf
+""".format(
+    id=_field("doc_id"),
+    source=_field("source"),
+    lang=_field("lang"),
+    chars=_field("n_chars"),
+    tchars=_field("t_chars"),
+    text=_field("text"),
+)
+
+
 ORACLES = {
     "op4_decontamination": CONTAMINATION,
     "op7_chat_tree": CHAT,
     "op9_quality_rules": QUALITY_RULES,
+    "op11_merkle_manifest": MERKLE,
 }
