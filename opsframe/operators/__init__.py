@@ -38,7 +38,9 @@ from opsframe.operators.survey import (
     answers_wide,
     column_names,
     question_ids,
+    question_names,
     survey_answers,
+    survey_answers_titled,
     survey_questions,
     survey_responses,
     survey_responses_titled,
@@ -93,7 +95,9 @@ __all__ = [
     "select_properties",
     "since",
     "sparse_record",
+    "question_names",
     "survey_answers",
+    "survey_answers_titled",
     "survey_questions",
     "survey_responses",
     "survey_responses_titled",

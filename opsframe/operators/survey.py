@@ -223,6 +223,44 @@ def column_names(questions: DataFrame) -> dict[str, str]:
     }
 
 
+def question_names(questions: DataFrame) -> DataFrame:
+    """``(question_id, name)`` by the rule of ``column_names``, as a table:
+    ``title`` or ``title-sub``, the largest of an id, and the id as suffix
+    where a name belongs to several ids or is a response column. Nothing
+    comes to the driver, so it holds any number of questions."""
+    name = F.when(
+        F.col("sub_question") == NO_SUB_QUESTION, F.col("question_title")
+    ).otherwise(F.concat_ws("-", "question_title", "sub_question"))
+    named = questions.groupBy("question_id").agg(F.max(name).alias("name"))
+    uses = named.groupBy("name").agg(F.count(F.lit(1)).alias("_uses"))
+    clash = (F.col("_uses") > 1) | F.col("name").isin(RESPONSE_COLUMNS)
+    return named.join(uses, "name").select(
+        "question_id",
+        F.when(clash, F.concat_ws("-", "name", "question_id"))
+        .otherwise(F.col("name"))
+        .alias("name"),
+    )
+
+
+def survey_answers_titled(
+    responses: DataFrame, questions: DataFrame, answers: str = "answers"
+) -> DataFrame:
+    """``survey_answers`` with the name of each question: the long form of
+    ``survey_responses_titled`` for any number of questions. A question that
+    is no longer in the form keeps its id as name."""
+    names = question_names(questions)
+    return (
+        survey_answers(responses, answers)
+        .join(names, "question_id", "left")
+        .select(
+            "responseId",
+            "question_id",
+            F.coalesce("name", "question_id").alias("question"),
+            "value",
+        )
+    )
+
+
 def survey_responses_titled(
     responses: DataFrame,
     questions: DataFrame,
@@ -233,7 +271,8 @@ def survey_responses_titled(
 
     A question that is no longer in the form keeps its id as name. Without
     ``ids`` one pass over the responses finds those that were answered; they
-    become columns and therefore come to the driver.
+    become columns and therefore come to the driver. For questions without
+    bound, ``survey_answers_titled`` is the long form.
     """
     names = column_names(questions)
     if ids is None:

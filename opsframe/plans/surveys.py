@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opsframe.operators import (
     answers_wide,
     survey_answers,
+    survey_answers_titled,
     survey_questions,
     survey_responses,
     survey_responses_titled,
@@ -169,8 +170,34 @@ def _survey_responses_titled(spark, sf_dir):
             AS t(question_title, question_id, sub_question)
         """
     )
-    # q3 is no longer in the form and keeps its id.
-    return survey_responses_titled(_responses(spark, sf_dir), questions)
+    # q3 is no longer in the form and keeps its id. The ids are given, so no
+    # pass over the responses brings them to the driver.
+    return survey_responses_titled(
+        _responses(spark, sf_dir), questions, ids=["q1", "q2", "q3"]
+    )
+
+
+@query(
+    "survey_answers_titled",
+    f"""
+    SELECT 'r' || o_orderkey AS "responseId", question_id, question, value
+    FROM (SELECT o_orderkey, 'q1' AS question_id, 'Status' AS question,
+                 {STATUS_SQL} AS value FROM orders
+          UNION ALL SELECT o_orderkey, 'q2', 'Handling-priority',
+                 o_orderpriority FROM orders
+          UNION ALL SELECT o_orderkey, 'q3', 'q3', {SIZE_SQL} FROM orders)
+    WHERE value IS NOT NULL
+    """,
+)
+def _survey_answers_titled(spark, sf_dir):
+    questions = spark.sql(
+        """
+        SELECT * FROM VALUES ('Status', 'q1', 'none'),
+            ('Handling', 'q2', 'priority')
+            AS t(question_title, question_id, sub_question)
+        """
+    )
+    return survey_answers_titled(_responses(spark, sf_dir), questions)
 
 
 @query(

@@ -148,3 +148,21 @@ def test_answers_in_rows(spark):
         ("r1", "x", None),
         ("r2", None, "z"),
     ]
+
+
+def test_names_as_a_table_follow_the_column_rule(spark, responses, questions):
+    from opsframe.operators import question_names, survey_answers_titled
+
+    table = {r.question_id: r.name for r in question_names(questions).collect()}
+    assert table == column_names(questions)
+    clash = spark.createDataFrame(
+        [("responseId", "q9", "none")],
+        "question_title string, question_id string, sub_question string",
+    )
+    assert question_names(clash).first().name == "responseId-q9"
+    known = questions.filter("question_id = 'q1'")
+    got = {
+        (r.responseId, r.question_id): r.question
+        for r in survey_answers_titled(responses, known).collect()
+    }
+    assert got[("r1", "q1")] == "Name" and got[("r1", "q2")] == "q2"
