@@ -13,6 +13,14 @@ shared positions, which every pair of that list must have.
 Equal texts have equal fingerprints and are one entry of the index, whatever
 their number.
 
+Departure from the named count filter: a pair is not tallied by counting the
+posting lists it shares. Since each key already fixes three shared bytes and a
+pair meets in one list only, its count of shared positions is read from the
+two fingerprints when it meets, and the bit distance is checked at once; the
+count filter, five shared bytes at least, is thereby implied by the distance
+of three bits and filters nothing that the check would keep. No link is lost:
+every pair within three bits shares a key.
+
 Defined results: a null, empty or blank text has fingerprint zero and is linked
 like any other; repeated rows are in one component; a null id is never the
 smallest, and a component of null ids only has a null component id; an empty
