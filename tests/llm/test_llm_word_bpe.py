@@ -1,6 +1,7 @@
 """Word-level BPE against the tokenizers library."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from llm_cases import LONG, none, odd, odd_rows, rows_of
-from opsframe.llm.word_bpe import WordBpe, bpe_digests, merged
+from opsframe.llm.word_bpe import MergeAutomaton, WordBpe, bpe_digests, merged
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIB = Tokenizer.from_file(PATH)
@@ -49,6 +50,45 @@ def test_merges_take_lowest_rank_leftmost():
     assert merged([7], pairs) == [7] and merged([], pairs) == []
 
 
+def test_automaton_accepts_merged_sequences_only():
+    # a=1, b=2; aa=3, aab=4, ba=5, in this order of merges.
+    pairs = {(1, 1): (0, 3), (3, 2): (1, 4), (2, 1): (2, 5)}
+    machine = MergeAutomaton(pairs)
+
+    def accepts(tokens):
+        state = machine.start
+        for token in tokens:
+            if state is not None:
+                state = machine.step(state, token)
+        return state is not None
+
+    def lead_to(tokens):
+        """Whether the merges, applied one after the other, give them."""
+        spell = {1: [1], 2: [2], 3: [1, 1], 4: [1, 1, 2], 5: [2, 1]}
+        now = [x for t in tokens for x in spell[t]]
+        for (left, right), (_, new) in pairs.items():
+            out = []
+            while now:
+                joins = now[:2] == [left, right]
+                out.append(new if joins else now[0])
+                now = now[1 + joins:]
+            now = out
+        return now == list(tokens)
+
+    for n in range(1, 6):
+        for tokens in itertools.product(range(1, 6), repeat=n):
+            assert accepts(tokens) == lead_to(tokens), tokens
+
+
+def test_words_are_paths_of_the_automaton():
+    for word in ("unbelievable", "aaaaaaa", "x" * 300, "漢字kana", "<|/w>"):
+        state = OWN.machine.start
+        for token in OWN.encode_word(word):
+            state = OWN.machine.step(state, token)
+            assert state is not None
+    assert OWN.machine.states == 11_613
+
+
 def digests(text):
     ids, decoded = library(text)
     return (
