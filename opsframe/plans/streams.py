@@ -3,6 +3,8 @@ is what it wrote."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from opsframe.plans.registry import query, table
@@ -16,15 +18,24 @@ from opsframe.streaming import (
     split_triggers,
 )
 
-FILES = 4
+# Micro-batches of a stream over the trigger folder, and its files at least.
+BATCHES = 4
+# Rows of a file: more rows give more files, so that one batch fills a cluster.
+FILE_ROWS = 200_000
 CONTEXT = "event_id bigint, event_type string, value double"
 
 
+def _files(rows):
+    """Files of a trigger folder: as many for each of the micro-batches."""
+    return BATCHES * max(1, math.ceil(rows / (BATCHES * FILE_ROWS)))
+
+
 def _trigger_folder(spark, sf_dir):
     """The events as trigger messages in a folder."""
     path = scratch_path(spark, "triggers")
-    # Several files, so that a stream has several micro-batches.
-    events = table(spark, sf_dir, "events").repartition(FILES)
+    events = table(spark, sf_dir, "events")
+    # The rows of Parquet files are counted from their footers.
+    events = events.repartition(_files(events.count()))
     encode_triggers(
         events.withColumn("message_id", F.col("event_id")),
         ["event_id", "event_type", "value"],
@@ -148,6 +159,7 @@ def _split_triggers(spark, sf_dir):
 )
 def _job_status_stream(spark, sf_dir):
     triggers = _trigger_folder(spark, sf_dir)
+    files = _files(table(spark, sf_dir, "events").count())
     statuses = scratch_path(spark, "status")
 
     def start(service, work, files):
@@ -171,9 +183,9 @@ def _job_status_stream(spark, sf_dir):
     def break_down(batch, batch_id):
         raise ValueError("the work of this service fails")
 
-    _finish(start("importer", copy, 1))
+    _finish(start("importer", copy, files // BATCHES))
     # The failing service takes all in one batch, as its first is its last.
-    failing = start("exporter", break_down, FILES)
+    failing = start("exporter", break_down, files)
     try:
         failing.awaitTermination()
     except Exception as error:

@@ -48,26 +48,35 @@ def log_batches(
     ``succeeded`` or ``failed``; a failure is raised again. A batch writes
     each result to its own folder ``batch_id=/result=`` and overwrites it, so
     a batch that is run again leaves one message per context and result. The
-    batch is read from its source for each of the three, which for files and
-    logs costs less than keeping it; a source that can't be read again must
-    be stored by the caller first.
+    contexts are made into messages once: those of the outcome are the stored
+    ``ran`` messages with another result.
     """
 
-    def report(batch: DataFrame, batch_id: int, result: str) -> None:
-        messages = job_status(
-            batch, context, result, project, topic, {"service": service}
+    def target(batch_id: int, result: str) -> str:
+        return f"{status_path}/batch_id={batch_id}/result={result}"
+
+    def report(messages: DataFrame, batch_id: int, result: str) -> None:
+        messages.write.mode("overwrite").parquet(target(batch_id, result))
+
+    def outcome(ran: DataFrame, batch_id: int, result: str) -> None:
+        stored = ran.sparkSession.read.schema(ran.schema).parquet(
+            target(batch_id, RAN)
         )
-        target = f"{status_path}/batch_id={batch_id}/result={result}"
-        messages.write.mode("overwrite").parquet(target)
+        others = F.map_filter("attributes", lambda name, _: name != "result")
+        named = F.map_concat(others, F.create_map(F.lit("result"), F.lit(result)))
+        report(stored.withColumn("attributes", named), batch_id, result)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        report(batch, batch_id, RAN)
+        ran = job_status(
+            batch, context, RAN, project, topic, {"service": service}
+        )
+        report(ran, batch_id, RAN)
         try:
             work(batch, batch_id)
         except Exception:
-            report(batch, batch_id, FAILED)
+            outcome(ran, batch_id, FAILED)
             raise
-        report(batch, batch_id, SUCCEEDED)
+        outcome(ran, batch_id, SUCCEEDED)
 
     return run
 

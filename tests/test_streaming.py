@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from opsframe.plans.streams import _files
 from opsframe.streaming import (
     decode_trigger_stream,
     decode_triggers,
@@ -11,6 +12,7 @@ from opsframe.streaming import (
     envelope,
     job_status,
     job_status_stream,
+    log_batches,
     publish,
     publish_stream,
     split_triggers,
@@ -114,6 +116,29 @@ def test_status_of_good_batches(spark, triggers, tmp_path):
     assert json.loads(got[0].data)["job"].startswith("j")
 
 
+def test_contexts_are_read_for_ran_and_work_only(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        reads.add(1)
+        return str(n)
+
+    rows = spark.range(6).select(F.struct(F.udf(seen)("id").alias("job")).alias("context"))
+    status = str(tmp_path / "status")
+    log_batches(lambda batch, _: None, status, "p", "s", "svc")(rows, 0)
+    assert reads.value == 6
+    got = statuses(spark, status)
+    assert len(got) == 12
+    for result in ("ran", "succeeded"):
+        assert {json.loads(r.data)["job"] for r in got if r.result == result} == set("012345")
+
+
+def test_trigger_files_grow_with_the_rows():
+    # The files were four for any number of rows.
+    assert [_files(n) for n in (0, 1, 800_000)] == [4, 4, 4]
+    assert _files(800_001) == 8 and _files(36_000_000) == 180
+
+
 def test_failed_batch_is_reported_raised_and_run_again(spark, triggers, tmp_path):
     def fail_second(batch, batch_id):
         if batch_id == 1:
