@@ -227,12 +227,17 @@ def variant_depth(df: DataFrame, column: str) -> int:
 
     Strings are cut out of the JSON text without recursion: first every
     escaped character, then every run between two quotes. Neither pattern
-    repeats a group, so a string of any length costs one linear scan.
+    repeats a group, so a string of any length costs one linear scan. Of the
+    brackets left, each shape is measured once.
     """
     text = F.to_json(column)
-    unescaped = F.regexp_replace(text, r"(?s)\\.", "")
-    outside = F.regexp_replace(unescaped, r'"[^"]*"', "")
-    brackets = F.split(F.regexp_replace(outside, r"[^\[\]{}]", ""), "")
+    unescaped = F.when(
+        F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\.", "")
+    ).otherwise(text)
+    # Runs of other characters go first: what is left is short.
+    marks = F.regexp_replace(unescaped, r'[^\[\]{}"]+', "")
+    shape = F.regexp_replace(marks, r'"[^"]*"', "")
+    brackets = F.split("shape", "")
     state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(held: Column, sign: Column) -> Column:
@@ -245,7 +250,8 @@ def variant_depth(df: DataFrame, column: str) -> int:
         )
 
     deepest = F.aggregate(brackets, state, step)["most"]
-    return df.agg(F.max(deepest)).first()[0] or 0
+    shapes = df.select(shape.alias("shape")).distinct()
+    return shapes.agg(F.max(deepest)).first()[0] or 0
 
 
 # Columns of the row walk; the caller's columns keep their own names.
@@ -296,27 +302,21 @@ def _walk_level(rows: DataFrame, kept: list[str], lists: str) -> DataFrame:
         (is_list & pos2.isNotNull(), None, None, None),
         (is_list & (item == "{}"), None, None, None),
         (is_list, path, F.lit(None), shown),
-        (lone == "{}", None, None, None),
-        (lone == "[]", *(
-            (path, F.lit(None), lone) if lists == "leaf" else (None,) * 3
-        )),
+        (lone.isin("{}" if lists == "leaf" else ["{}", "[]"]), None, None, None),
         (F.lit(True), path, F.lit(None), lone),
     ]
 
-    def pick(at: int) -> Column:
-        out = None
-        for case in cases:
-            got = F.lit(None) if case[at] is None else case[at]
-            out = F.when(case[0], got) if out is None else out.when(case[0], got)
-        return out
-
-    keep = pick(1).isNotNull()
-    return second.where(keep).select(
-        *kept,
-        pick(1).alias(_P),
-        pick(2).cast("variant").alias(_V),
-        pick(3).cast("string").alias(_J),
-    )
+    # One CASE of arrays with one node or none, so that a value's JSON text is
+    # not made again for each column and for the filter.
+    picked = None
+    for holds, *got in cases:
+        node = F.lit(None) if got[0] is None else F.array(F.struct(
+            got[0].alias(_P),
+            got[1].cast("variant").alias(_V),
+            got[2].cast("string").alias(_J),
+        ))
+        picked = (F if picked is None else picked).when(holds, node)
+    return second.select(*kept, F.inline(picked))
 
 
 def _variant_rows(

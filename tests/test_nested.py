@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from models import leaves, random_record, search
 from opsframe.operators import find_paths, leaf_paths, node_map, nodes
+from opsframe.operators.nested import variant_depth
 
 EXAMPLE = {"a": 1, "b": {"c": 2, "d": 3, "e": {"f": 4}}}
 TYPED = (
@@ -284,3 +285,18 @@ def test_variant_walk_is_one_stage(spark, plan_of):
     plan = plan_of(node_map(variants(spark, [EXAMPLE]), "record"))
     assert "Generate" in plan and "Exchange" not in plan
     assert "lambdafunction" not in plan.lower()
+
+
+def test_variant_walk_makes_json_text_once_per_level(spark):
+    # The text was made again for each column and for the filter: one CASE
+    # with the paths, one with the open values, one with the texts.
+    df = spark.sql("""SELECT 1 AS id, parse_json('{"a":{"b":"x]"}}') AS record""")
+    found = node_map(df, "record", ["id"], max_depth=2)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("to_json(") <= 16
+    assert [(r.path, r.value) for r in found.collect()] == [("a.b", '"x]"')]
+
+
+def test_variant_depth_of_escaped_and_quoted_brackets(spark):
+    records = [{"a\\": [{"b": "}]{"}]}, {'"{[[[[': 1}, {"c": "\n\"{[[[["}]
+    assert variant_depth(variants(spark, records), "record") == 3
